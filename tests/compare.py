@@ -1,0 +1,25 @@
+"""Compare a Spark result with a DuckDB one: same columns, same rows in any order."""
+
+import math
+from collections import Counter
+from decimal import Decimal
+
+
+def _plain(value):
+    if isinstance(value, Decimal):
+        value = float(value)
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def assert_same(df, relation, context=""):
+    assert sorted(df.columns) == sorted(relation.columns), context
+    ours = _rows(df.columns, df.collect())
+    theirs = _rows(relation.columns, relation.fetchall())
+    assert ours == theirs, f"{context}\nonly ours {ours - theirs}\nonly SQL {theirs - ours}"

@@ -1,0 +1,34 @@
+"""Every registered query against its SQL counterpart on the supplied tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+from tests.compare import assert_same
+
+ROOT = "/root/testdata"
+
+
+@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
+def supplied(request):
+    folder = f"{ROOT}/{request.param}"
+    con = duckdb.connect()
+    for name in ("customer", "nation", "part", "events"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    yield folder, con
+    con.close()
+
+
+def test_every_query_has_sql():
+    assert driver.queries().keys() == driver.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", list(driver.queries()))
+def test_query_matches_sql(spark, supplied, name):
+    folder, con = supplied
+    result = driver.queries()[name](spark, folder)
+    assert_same(result, con.sql(driver.oracle_sql()[name]), name)
+
+
+def test_entry_is_the_funnel(spark):
+    assert driver.entry(spark).count() == 26
