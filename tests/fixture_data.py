@@ -1,0 +1,41 @@
+"""The small hand-made tables whose expected results were worked out on paper."""
+
+from datetime import datetime
+from decimal import Decimal
+
+from playmetrics.schema import EVENTS, ITEMS, RACE, USERS, GameTables
+
+RACES = [(1, "Elf"), (2, "Orc"), (3, "Human")]
+GOODS = [(10, "Book"), (11, "Bag"), (12, "Gem")]
+PLAYERS = [(1, 1, 1), (2, 0, 1), (3, 1, 2), (4, 0, 2), (5, 0, 3), (6, 1, 9), (7, 0, None)]
+
+
+def _event(transaction, player, day, hour, amount, item):
+    return (transaction, player, datetime(2024, 1, day, hour), Decimal(amount), item)
+
+
+PURCHASES = [
+    _event(1, 1, 1, 10, "10.00", 10),
+    _event(2, 1, 3, 9, "20.00", 10),
+    _event(3, 1, 3, 18, "30.00", 11),
+    _event(4, 2, 2, 12, "5.00", 10),
+    _event(5, 2, 5, 12, "0.00", 11),
+    _event(6, 2, 12, 12, "15.00", 10),
+    _event(7, 3, 1, 12, "0.00", 10),
+    _event(8, 6, 4, 23, "40.00", 11),
+    _event(9, 6, 8, 1, "60.00", 10),
+    _event(10, 99, 6, 12, "8.00", 10),
+    _event(11, 2, 13, 12, "1.00", 99),
+    _event(12, 99, 9, 12, "7.00", 10),
+    _event(13, 99, 16, 12, "9.00", 11),
+]
+
+
+def tables(spark, users=PLAYERS, race=RACES, items=GOODS, events=PURCHASES, **keys):
+    return GameTables(
+        users=spark.createDataFrame(users, USERS),
+        race=spark.createDataFrame(race, RACE),
+        items=spark.createDataFrame(items, ITEMS),
+        events=spark.createDataFrame(events, EVENTS),
+        **keys,
+    )
