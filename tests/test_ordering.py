@@ -1,0 +1,81 @@
+"""The distributed order operators against Spark's own single-task windows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from playmetrics.operators.lag import lag_by_key
+from playmetrics.operators.ordering import histogram, lower_median, tile, with_position
+
+@pytest.fixture
+def many_partitions(spark):
+    """Keep sort partitions apart, which AQE would merge on inputs this small."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _values(kind, n):
+    rng = random.Random(n)
+    pick = {
+        "tied": lambda: 1,
+        "few": lambda: rng.choice([1, 1, 1, 2, 5]),
+        "many": lambda: rng.randint(0, 10**6) / 100,
+        "nulls": lambda: rng.choice([None, 3, 4]),
+    }[kind]
+    return [(i, pick()) for i in range(n)]
+
+
+def _frame(spark, kind, n):
+    rows = [(i, None if v is None else str(v)) for i, v in _values(kind, n)]
+    return spark.createDataFrame(rows, "id bigint, t string").select(
+        "id", F.col("t").cast("decimal(10,2)").alias("v")
+    )
+
+
+@pytest.mark.parametrize("kind, n", [
+    ("tied", 59), ("few", 200), ("many", 500), ("nulls", 61),
+    ("few", 0), ("few", 1), ("few", 2), ("few", 3),
+])
+def test_position_and_tiles(spark, many_partitions, kind, n):
+    df = _frame(spark, kind, n).repartition(7)
+    order = [F.asc_nulls_last("v"), F.asc_nulls_last("id")]
+    placed = with_position(df, order, total="n")
+    window = Window.orderBy(*order)
+    for tiles in (1, 3, 4):
+        ours = placed.select("id", "position", tile(F.col("position"), F.col("n"), tiles).alias("t"))
+        theirs = df.select(
+            "id", F.row_number().over(window), F.ntile(tiles).over(window)
+        )
+        assert sorted(ours.collect()) == sorted(theirs.collect())
+
+
+@pytest.mark.parametrize("kind, n", [
+    ("tied", 50), ("few", 77), ("many", 400), ("many", 401), ("nulls", 40), ("many", 1), ("many", 2),
+    ("many", 0),
+])
+def test_median(spark, many_partitions, kind, n):
+    df = _frame(spark, kind, n).repartition(5)
+    ours = lower_median(histogram(df, "v"), "v").first()["median"]
+    theirs = df.selectExpr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v) AS m").first()["m"]
+    assert (None if ours is None else float(ours)) == theirs
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 30, 0])
+def test_lag(spark, many_partitions, hot_rows):
+    rng = random.Random(5)
+    rows = [
+        (rng.choice([1, 1, 1, 2, 3, None]), _none(rng, rng.randint(0, 90)), i) for i in range(400)
+    ] + [(1, 5, 1000)] * 90
+    df = spark.createDataFrame(rows, "k bigint, v bigint, i bigint").repartition(6)
+    ours = lag_by_key(df, "k", ["v", "i"], "v", "before", hot_rows, chunk_rows=13)
+    window = Window.partitionBy("k").orderBy(F.asc_nulls_last("v"), F.asc_nulls_last("i"))
+    theirs = df.withColumn("before", F.lag("v").over(window))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(ours.collect(), key=key) == sorted(theirs.collect(), key=key)
+
+
+def _none(rng, value):
+    return None if rng.random() < 0.1 else value
