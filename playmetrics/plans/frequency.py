@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from playmetrics.functions.numeric import COUNT, quotient, ratio, whole
+from playmetrics.operators.distinct import count_distinct, marked, merge
 from playmetrics.operators.lag import CHUNK_ROWS, HOT_ROWS, lag_by_key
 from playmetrics.operators.ordering import tile, with_position
-from playmetrics.plans.players import distinct_positive, per_player, positive
+from playmetrics.plans.players import per_player, positive, positive_marks
 from playmetrics.schema import GameTables
 
 # Segment labels, from the smallest to the largest mean gap.
@@ -58,10 +59,10 @@ def _summaries(tables: GameTables) -> DataFrame:
         _last=F.max("date"),
     )
     if not tables.transactions_are_unique():
-        distinct = distinct_positive(tables).groupBy("id").agg(F.count(F.lit(1)).alias("_n"))
-        # NULL ids are left out of the recount; their purchases are counted apart
-        nobody = tables.events.where(positive() & F.col("id").isNull()).agg(
-            F.count_distinct("transaction_id").alias("_nobody")
+        distinct = positive_marks(tables).groupBy("id").agg(marked().alias("_n"))
+        # NULL ids are left out of the marks; their purchases are counted apart
+        nobody = count_distinct(
+            tables.events.where(positive() & F.col("id").isNull()), [], "transaction_id", "_nobody"
         )
         recount = F.when(F.col("id").isNull(), F.col("_nobody")).otherwise(
             F.coalesce("_n", F.lit(0))
@@ -156,9 +157,9 @@ def frequency_segments(
     if not tables.transactions_are_unique():
         members = segments.where(known).select("id", "users_group").distinct()
         recount = (
-            distinct_positive(tables).join(members, "id")
+            merge(positive_marks(tables).join(members, "id"), ["users_group"])
             .groupBy("users_group")
-            .agg(F.count_distinct("transaction_id").alias("recount"))
+            .agg(marked().alias("recount"))
         )
         totals = totals.join(recount, "users_group", "left").withColumn(
             "transactions", F.coalesce("recount", F.lit(0))

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.functions.numeric import ratio
+from playmetrics.operators.distinct import count_distinct, marked, merge
 from playmetrics.plans.players import (
-    buyers, distinct_positive, per_player, positive, transacting, users_by,
+    buyers, per_player, positive, positive_marks, transacting, users_by,
 )
 from playmetrics.schema import GameTables
 
@@ -24,7 +25,7 @@ def _name_races(per_race: DataFrame, tables: GameTables) -> DataFrame:
 
 
 def _count_players(users: DataFrame, tables: GameTables, count: str) -> DataFrame:
-    per_race = users.groupBy("race_id").agg(F.count_distinct("id").alias(count))
+    per_race = count_distinct(users, ["race_id"], "id", count)
     return _name_races(per_race, tables).select(*RACE_KEY, count)
 
 
@@ -92,10 +93,9 @@ def _race_totals(tables: GameTables) -> DataFrame:
         return totals
     races = tables.users.select("id", "race_id").distinct()
     recount = (
-        distinct_positive(tables).join(races, "id")
-        .groupBy("race_id")
-        .agg(F.count_distinct("transaction_id").alias("recount"))
-        .withColumnRenamed("race_id", "_race_id")
+        merge(positive_marks(tables).join(races, "id"), ["race_id"])
+        .groupBy(F.col("race_id").alias("_race_id"))
+        .agg(marked().alias("recount"))
     )
     # only races with positive purchases use the count, and a NULL here means zero
     return (

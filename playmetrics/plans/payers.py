@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.functions.numeric import ratio
+from playmetrics.operators.distinct import count_distinct
 from playmetrics.schema import GameTables
 
 
@@ -21,11 +22,8 @@ def payer_share_overall(tables: GameTables) -> DataFrame:
 
 def payer_share_by_race(tables: GameTables) -> DataFrame:
     """The same by race name; players of unknown race form the NULL group."""
-    by_race = (
-        tables.users.join(tables.race, "race_id", "left")
-        .groupBy("race")
-        .agg(F.count_distinct("id").alias("all_users"), F.sum("payer").alias("paying_users"))
-    )
+    users = tables.users.join(tables.race, "race_id", "left")
+    by_race = count_distinct(users, ["race"], "id", "all_users", paying_users=F.sum("payer"))
     share = ratio(F.col("paying_users"), F.col("all_users"), 2)
     return by_race.withColumn("share_paying_users", share).orderBy(
         F.desc_nulls_first("share_paying_users"), "race"

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playmetrics.operators.distinct import mark
 from playmetrics.schema import GameTables
 
 def positive() -> Column:
@@ -38,9 +39,7 @@ def users_by(tables: GameTables, *columns: str, **measures: Column) -> DataFrame
     )
 
 
-def distinct_positive(tables: GameTables) -> DataFrame:
-    """Distinct (id, transaction_id) of positive purchases, where ids repeat."""
-    events = tables.events.where(
-        positive() & F.col("id").isNotNull() & F.col("transaction_id").isNotNull()
-    )
-    return events.select("id", "transaction_id").distinct()
+def positive_marks(tables: GameTables) -> DataFrame:
+    """Transaction ids of each player's positive purchases, as marks."""
+    known = F.col("id").isNotNull() & F.col("transaction_id").isNotNull()
+    return mark(tables.events.where(positive() & known), ["id"], "transaction_id")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.functions.numeric import ratio
+from playmetrics.operators.distinct import count_distinct
 from playmetrics.operators.ordering import histogram, lower_median, with_position
 from playmetrics.plans.players import per_player, positive, users_by
 from playmetrics.schema import GameTables
@@ -94,19 +95,12 @@ def item_popularity(tables: GameTables) -> DataFrame:
     """Each listed item's share of purchases and of buyers, ranked by purchases.
 
     Items never sold stay with zero; purchases of unlisted items only count in the totals.
-    Both the items and the totals start from (item, buyer) pairs, which spreads a bestseller
-    over all tasks.
     """
-    pairs = tables.events.groupBy("item_code", "id").agg(
-        F.count("transaction_id").alias("purchases")
-    )
-    per_item = pairs.groupBy("item_code").agg(
-        F.sum("purchases").alias("purchases"), F.count("id").alias("buyers")
-    )
-    totals = pairs.agg(
-        F.coalesce(F.sum("purchases"), F.lit(0)).alias("_purchases"),
-        F.count_distinct("id").alias("_buyers"),
+    purchases = F.count("transaction_id")
+    per_item = count_distinct(
+        tables.events, ["item_code"], "id", "buyers", purchases=purchases
     )
+    totals = count_distinct(tables.events, [], "id", "_buyers", _purchases=purchases)
     listed = tables.items.groupBy("item_code", "game_items").agg(
         F.count(F.lit(1)).alias("copies")
     )
@@ -116,7 +110,7 @@ def item_popularity(tables: GameTables) -> DataFrame:
         F.coalesce(F.col("purchases") * F.col("copies"), F.lit(0)).alias("count_purchases"),
         F.coalesce("buyers", F.lit(0)).alias("_item_buyers"),
     )
-    shares = sold.crossJoin(F.broadcast(totals)).select(
+    shares = sold.crossJoin(F.broadcast(totals.fillna(0))).select(
         "item_code",
         "game_items",
         "count_purchases",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playmetrics.operators.distinct import is_unique
+
 USERS = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("payer", T.IntegerType()),
@@ -54,10 +56,11 @@ class GameTables:
     """Players, races, items and purchases (one ``events`` row per purchase).
 
     Only one property of the data changes the plan: whether ``transaction_id`` is
-    unique. If it is, distinct purchases are plain counts that combine on the map side;
-    if not, they need a shuffle of every purchase. ``unique_transactions`` is ``True``
-    where the table's owner guarantees the key, and ``None`` where it has to be checked;
-    the check runs at most once per instance, so share one among several analyses.
+    unique. If it is, distinct purchases are plain counts that add up from player to race
+    or segment; if not, purchases have to be joined to find repeats across players.
+    ``unique_transactions`` is ``True`` where the table's owner guarantees the key, and
+    ``None`` where it has to be checked; the check reads one column and runs at most once
+    per instance, so share one among several analyses.
     """
 
     users: DataFrame
@@ -72,11 +75,5 @@ class GameTables:
 
     def transactions_are_unique(self) -> bool:
         if self.unique_transactions is None:
-            most = (
-                self.events.where(F.col("transaction_id").isNotNull())
-                .groupBy("transaction_id").count()
-                .agg(F.max("count").alias("copies"))
-                .first()["copies"]
-            )
-            self.unique_transactions = most is None or most == 1
+            self.unique_transactions = is_unique(self.events, "transaction_id")
         return self.unique_transactions

@@ -146,8 +146,9 @@ def test_no_purchases(spark):
     empty = tables(spark, events=[])
     assert empty.transactions_are_unique()
     assert rows(purchases.purchase_amount_profile(empty)) == [(0,) + (None,) * 6]
-    with pytest.raises(ArithmeticException):
-        rows(purchases.zero_amount_share(empty))
+    for share in (purchases.zero_amount_share, purchases.item_popularity):
+        with pytest.raises(ArithmeticException):
+            rows(share(empty))
     assert rows(frequency.frequency_segments(empty)) == []
     assert rows(frequency.purchase_gaps(empty)) == []
     assert all(r[3] is None for r in rows(funnel.race_funnel(empty)))
