@@ -12,6 +12,8 @@ from playmetrics.operators.ordering import materialize, with_position
 
 HOT_ROWS = 5_000_000
 CHUNK_ROWS = 1_000_000
+# a broadcast of this many keys stays around ten megabytes
+BROADCAST_KEYS = 200_000
 
 
 def _nulls_last(names: Sequence[str]) -> list:
@@ -38,12 +40,14 @@ def lag_by_key(
     hot = materialize(
         counts.where(F.col("_rows") > hot_rows).select(F.col(key).alias("_hot"))
     )
-    if hot.isEmpty():
+    hot_keys = hot.count()
+    if hot_keys == 0:
         return _by_window(df, key, order, value, out)
-    # at most rows / hot_rows keys can be hot
+    if hot_keys <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    cold = df.join(F.broadcast(hot), is_hot, "left_anti")
-    busy = df.join(F.broadcast(hot), is_hot, "left_semi")
+    cold = df.join(hot, is_hot, "left_anti")
+    busy = df.join(hot, is_hot, "left_semi")
     return _by_window(cold, key, order, value, out).unionByName(
         _by_chunks(busy, key, order, value, out, chunk_rows)
     )

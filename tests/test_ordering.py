@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from playmetrics.operators import lag
 from playmetrics.operators.lag import lag_by_key
 from playmetrics.operators.ordering import histogram, lower_median, tile, with_position
 
@@ -63,8 +64,9 @@ def test_median(spark, many_partitions, kind, n):
     assert (None if ours is None else float(ours)) == theirs
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 30, 0])
-def test_lag(spark, many_partitions, hot_rows):
+@pytest.mark.parametrize("hot_rows, broadcast_keys", [(10**9, 10), (30, 10), (0, 10), (30, 0)])
+def test_lag(spark, many_partitions, monkeypatch, hot_rows, broadcast_keys):
+    monkeypatch.setattr(lag, "BROADCAST_KEYS", broadcast_keys)
     rng = random.Random(5)
     rows = [
         (rng.choice([1, 1, 1, 2, 3, None]), _none(rng, rng.randint(0, 90)), i) for i in range(400)
