@@ -1,4 +1,4 @@
-"""Exact distinct counts of whole-number ids.
+"""Exact distinct counts of, and semi joins on, whole-number ids.
 
 ``COUNT(DISTINCT id)`` shuffles a row per distinct id. Here ids become bits of 64-bit words,
 and bits of a word combine before the shuffle: ids that are handed out in sequence move up to
@@ -16,14 +16,21 @@ from pyspark.sql import functions as F
 _WORD_BITS = 6
 
 
+def _word(number: str) -> Column:
+    return F.shiftright(number, _WORD_BITS)
+
+
+def _place(number: str) -> Column:
+    return F.col(number).bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).cast("int")
+
+
 def mark(df: DataFrame, keys: Sequence[str], number: str, **measures: Column) -> DataFrame:
     """One row per ``keys`` and word of ``number``: ``_word``, ``_bits`` and the measures.
 
     A NULL number keeps its keys and measures but marks nothing.
     """
-    place = F.col(number).bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
-    return df.groupBy(*keys, F.shiftright(number, _WORD_BITS).alias("_word")).agg(
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), _place(number))
+    return df.groupBy(*keys, _word(number).alias("_word")).agg(
         F.bit_or(bit).alias("_bits"), *[m.alias(name) for name, m in measures.items()]
     )
 
@@ -33,6 +40,16 @@ def merge(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
     return marks.groupBy(*keys, "_word").agg(F.bit_or("_bits").alias("_bits"))
 
 
+def keep_marked(df: DataFrame, number: str, marks: DataFrame) -> DataFrame:
+    """Semi join: the rows whose ``number`` is in ``marks``, which has no other keys."""
+    return (
+        df.withColumn("_word", _word(number))
+        .join(marks, "_word")
+        .where(F.bit_get("_bits", _place(number)) == 1)
+        .select(*df.columns)
+    )
+
+
 def marked() -> Column:
     """Aggregate over words: how many numbers they mark."""
     return F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0))

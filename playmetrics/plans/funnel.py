@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.functions.numeric import ratio
-from playmetrics.operators.distinct import count_distinct, marked, merge
+from playmetrics.operators.distinct import count_distinct, keep_marked, marked, merge
 from playmetrics.plans.players import (
     buyers, per_player, positive, positive_marks, transacting, users_by,
 )
@@ -42,30 +42,21 @@ def player_purchase_counts(tables: GameTables) -> DataFrame:
 
 def race_purchasers(tables: GameTables) -> DataFrame:
     """Players with a purchase, of whatever amount."""
-    users = tables.users.join(transacting(tables), "id", "left_semi")
+    users = keep_marked(tables.users, "id", transacting(tables))
     return _count_players(users, tables, "count_purshasing_u")
 
 
 def race_paying_purchasers(tables: GameTables) -> DataFrame:
     """Payers among the buyers."""
-    users = tables.users.where(F.col("payer") == 1).join(buyers(tables), "id", "left_semi")
+    payers = tables.users.where(F.col("payer") == 1)
+    users = keep_marked(payers, "id", buyers(tables))
     return _count_players(users, tables, "count_paying_u")
 
 
-def race_paying_share(tables: GameTables) -> DataFrame:
-    share = ratio(F.col("count_paying_u"), F.col("count_purshasing_u"), 2)
-    return (
-        race_purchasers(tables)
-        .join(race_paying_purchasers(tables), RACE_KEY, "left")
-        .select(*RACE_KEY, share.alias("share_paying_u"))
-    )
-
-
 def _race_totals(tables: GameTables) -> DataFrame:
     """All counts and sums per ``race_id`` from a single pass over the purchases.
 
-    A count is NULL where nobody was counted. Positive purchases are counted by distinct
-    transaction id, which is a plain count unless ids repeat.
+    A count is NULL where nobody was counted. ``positive`` counts purchases, not distinct ids.
     """
     facts = per_player(
         tables.events.where(F.col("id").isNotNull()),
@@ -81,7 +72,7 @@ def _race_totals(tables: GameTables) -> DataFrame:
         found = F.count(F.when(condition, F.col("id")))
         return F.when(found > 0, found)
 
-    totals = players.groupBy("race_id").agg(
+    return players.groupBy("race_id").agg(
         F.count("id").alias("count_all_u"),
         players_where(F.col("transactions") > 0).alias("count_purshasing_u"),
         players_where(F.col("pays") & F.col("bought")).alias("count_paying_u"),
@@ -89,6 +80,10 @@ def _race_totals(tables: GameTables) -> DataFrame:
         F.sum("positive").alias("positive"),
         F.sum(F.col("spent") * F.col("copies")).alias("spent"),
     )
+
+
+def _with_distinct_purchases(totals: DataFrame, tables: GameTables) -> DataFrame:
+    """``positive`` by distinct transaction id, which makes no difference unless ids repeat."""
     if tables.transactions_are_unique():
         return totals
     races = tables.users.select("id", "race_id").distinct()
@@ -105,6 +100,15 @@ def _race_totals(tables: GameTables) -> DataFrame:
     )
 
 
+def race_paying_share(tables: GameTables) -> DataFrame:
+    """Payers among the purchasers. Races without a name have no share."""
+    totals = _race_totals(tables).where(F.col("count_purshasing_u").isNotNull())
+    share = ratio(F.col("count_paying_u"), F.col("count_purshasing_u"), 2)
+    return _name_races(totals, tables).select(
+        *RACE_KEY, F.when(F.col("race").isNotNull(), share).alias("share_paying_u")
+    )
+
+
 def _activity_columns() -> list:
     return [
         ratio(F.col("positive"), F.col("count_purshasing_u"), 2).alias("avg_purshases"),
@@ -115,7 +119,9 @@ def _activity_columns() -> list:
 
 def race_activity(tables: GameTables) -> DataFrame:
     """Positive purchases per purchaser, and what one purchase and one purchaser brings."""
-    totals = _race_totals(tables).where(F.col("positive_rows") > 0)
+    totals = _with_distinct_purchases(_race_totals(tables), tables).where(
+        F.col("positive_rows") > 0
+    )
     races = tables.race.distinct().withColumnRenamed("race_id", "_race_id")
     named = (F.col("race_id") == F.col("_race_id")) & F.col("count_purshasing_u").isNotNull()
     # purchasers are looked up by race_id, so those without one find no count
@@ -131,8 +137,9 @@ def race_funnel(tables: GameTables) -> DataFrame:
     """All stages side by side, most active race first."""
     named = F.col("race").isNotNull()
     active = F.col("count_purshasing_u").isNotNull() & (F.col("positive_rows") > 0)
+    totals = _with_distinct_purchases(_race_totals(tables), tables)
     stages = (
-        _name_races(_race_totals(tables), tables)
+        _name_races(totals, tables)
         .withColumn("count_purshasing_u", F.when(named, F.col("count_purshasing_u")))
         .withColumn("count_paying_u", F.when(named, F.col("count_paying_u")))
         .withColumn("positive", F.when(active, F.col("positive")))

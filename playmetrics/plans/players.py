@@ -22,14 +22,14 @@ def per_player(events: DataFrame, **measures: Column) -> DataFrame:
 
 
 def buyers(tables: GameTables) -> DataFrame:
-    """Ids with at least one purchase row."""
-    return tables.events.where(F.col("id").isNotNull()).select("id").distinct()
+    """Ids with at least one purchase row, as marks."""
+    return mark(tables.events.where(F.col("id").isNotNull()), [], "id")
 
 
 def transacting(tables: GameTables) -> DataFrame:
-    """Ids with at least one purchase that has a transaction id."""
-    events = tables.events.where(F.col("id").isNotNull() & F.col("transaction_id").isNotNull())
-    return events.select("id").distinct()
+    """Ids with at least one purchase that has a transaction id, as marks."""
+    known = F.col("id").isNotNull() & F.col("transaction_id").isNotNull()
+    return mark(tables.events.where(known), [], "id")
 
 
 def users_by(tables: GameTables, *columns: str, **measures: Column) -> DataFrame:

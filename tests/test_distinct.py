@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from playmetrics.operators.distinct import count_distinct, is_unique, mark, marked, merge
+from playmetrics.operators.distinct import (
+    count_distinct, is_unique, keep_marked, mark, marked, merge,
+)
 
 TOP = (1 << 63) - 1
 EDGES = [-1, 0, 1, 63, 64, -63, -64, -65, TOP, TOP - 1, -TOP, -TOP - 1]
@@ -44,3 +46,11 @@ def test_marks_unite_across_keys(spark):
 def test_is_unique(spark, numbers, unique):
     df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
     assert is_unique(df, "n") is unique
+
+
+def test_semi_join(spark):
+    df, wanted = _frame(spark), _frame(spark, seed=9).where("v > 6 AND n IS NOT NULL")
+    ours = keep_marked(df, "n", mark(wanted, [], "n"))
+    theirs = df.join(wanted, "n", "left_semi").select(*df.columns)
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(ours.collect(), key=key) == sorted(theirs.collect(), key=key)

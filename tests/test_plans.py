@@ -46,6 +46,8 @@ def test_filters_and_columns_reach_the_scan(stored):
 @pytest.mark.parametrize("analysis, times", [
     (funnel.race_funnel, 1),
     (funnel.race_activity, 1),
+    (funnel.race_paying_share, 1),
+    (funnel.race_purchasers, 1),
     (purchases.activity_by_payer, 1),
     (purchases.zero_amount_share, 1),
     (frequency.player_gap_summary, 1),
