@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from playmetrics.operators.distinct import mark
 from playmetrics.schema import GameTables
 
+
 def positive() -> Column:
     return F.col("amount") > 0
 

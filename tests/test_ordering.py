@@ -81,3 +81,17 @@ def test_lag(spark, many_partitions, monkeypatch, hot_rows, broadcast_keys):
 
 def _none(rng, value):
     return None if rng.random() < 0.1 else value
+
+
+def test_stored_where_the_session_says(spark, tmp_path):
+    context = spark.sparkContext
+    before = context.getCheckpointDir()
+    context.setCheckpointDir(str(tmp_path))
+    try:
+        placed = with_position(spark.range(9), [F.col("id")])
+        assert placed.count() == 9
+        assert list(tmp_path.rglob("*.parquet"))
+        assert all(str(tmp_path) in f for f in placed.inputFiles())
+    finally:
+        if before is not None:
+            context.setCheckpointDir(before)

@@ -33,6 +33,7 @@ def plan(df):
 
 
 def scans(text, table):
+    """Reads of a table; stored intermediate results are in other folders."""
     return len(re.findall(rf"FileScan parquet.*?/{table}\]", text))
 
 
