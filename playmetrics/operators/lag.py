@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playmetrics.operators.ordering import materialize, with_position
+from playmetrics.operators.ordering import with_position
+from playmetrics.storage import store
 
 HOT_ROWS = 5_000_000
 CHUNK_ROWS = 1_000_000
@@ -37,7 +38,7 @@ def lag_by_key(
     NULL keys form one group, as in a window.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = materialize(
+    hot = store(
         counts.where(F.col("_rows") > hot_rows).select(F.col(key).alias("_hot"))
     )
     hot_keys = hot.count()

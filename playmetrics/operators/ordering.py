@@ -7,45 +7,21 @@ sizes, one row per sort partition, turn that into a global position.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from playmetrics.storage import store
+
 # monotonically_increasing_id keeps the partition number above bit 33
 _SLOT_BITS = 33
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="playmetrics-")
-        sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
-
-    A lost executor then costs a re-read, and values that depend on a partition's
-    position cannot change between two reads. Parquet lets later steps read only the
-    columns they use.
-    """
-    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _sorted_slots(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     slot = F.monotonically_increasing_id()
-    stored = materialize(df.orderBy(*order).withColumn("_slot", slot))
+    stored = store(df.orderBy(*order).withColumn("_slot", slot))
     return stored.withColumn("_part", F.shiftright("_slot", _SLOT_BITS))
 
 
