@@ -28,7 +28,7 @@ HEAVY_SHARE = 0.001
 COUNTERS = 16_384
 # Digests over the share are certainly among so many of the summary's largest.
 SUSPECTS = 2_048
-# Summaries of tasks meet in so many places before the last one.
+# Summaries of tasks meet in so many places, so at most MEETING_POINTS * SUSPECTS are broadcast.
 MEETING_POINTS = 64
 
 
@@ -56,18 +56,18 @@ def digests(
 def heavy_hitters(digested: DataFrame, share: float = HEAVY_SHARE) -> DataFrame:
     """Digests of at least ``share`` of the rows, with count and the row that stays; stored.
 
-    The summary works on 64-bit hashes of the digests. It may name too many or, by collisions,
-    the wrong ones, so each named hash is counted exactly by its digests.
+    Every meeting point has a summary of its tasks' rows. A digest with the share overall has it at
+    one of the points at least, so all points' suspects together miss none. Summaries work on
+    64-bit hashes of the digests and may name too many, so each suspect is counted exactly.
     """
     rows = digested.count()
     point = F.pmod(F.spark_partition_id(), F.lit(MEETING_POINTS))
     named = (
         digested.select(point.alias("point"), F.xxhash64("digest").alias("hash"))
         .groupBy("point")
-        .agg(F.expr(f"approx_top_k_accumulate(hash, {COUNTERS})").alias("summary"))
-        .agg(F.expr(f"approx_top_k_combine(summary, {COUNTERS})").alias("summary"))
-        .select(F.inline(F.expr(f"approx_top_k_estimate(summary, {SUSPECTS})")))
-        .select(F.col("item").alias("hash"))
+        .agg(F.expr(f"approx_top_k(hash, {SUSPECTS}, {COUNTERS})").alias("top"))
+        .select(F.explode("top.item").alias("hash"))
+        .distinct()
     )
     counted = (
         digested.withColumn("hash", F.xxhash64("digest"))
