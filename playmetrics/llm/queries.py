@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmetrics.llm import chat_format, exact_dedup, url_filter
+import public_tokenizers
+
+from playmetrics.llm import bpe, chat_format, exact_dedup, mixing, simhash, url_filter
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
 URL_RULES = (
@@ -60,6 +64,36 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_byte_level_bpe(
+    spark: SparkSession, sf_dir: str, vocabulary: str | None = None
+) -> DataFrame:
+    return token_digests(_table(spark, sf_dir, "documents"), vocabulary)
+
+
+def token_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """Encode and decode ``docs``; digests of the ids and of the decoded bytes."""
+    ranks = bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
+    coded = bpe.decode(bpe.encode(docs, ranks), ranks)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label of the document with a page's id is the page's outcome."""
     labels = _table(spark, sf_dir, "labels")
@@ -73,8 +107,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_simhash_near_dedup,
         op4_chat_formatting,
         op5_exact_dedup,
+        op6_source_mixing,
         op9_url_filter,
+        op10_byte_level_bpe,
     )
 }
