@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from playmetrics.llm import bpe, chat_format, exact_dedup, mixing, simhash, url_filter
+from playmetrics.llm import bpe, chat_format, exact_dedup, language_id, mixing, simhash, toxicity, url_filter
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_chain() -> dict[str, Column]:
+    """Low quality first: what looks like junk says something about toxicity."""
+    return {"junk": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.screen(docs, labels, toxicity_chain())
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one that speaks in control strings; read them back."""
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -64,6 +74,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -107,7 +121,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_simhash_near_dedup,
+        op3_toxicity,
         op4_chat_formatting,
         op5_exact_dedup,
         op6_source_mixing,
