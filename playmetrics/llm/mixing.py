@@ -290,18 +290,19 @@ def mixed_documents(
         F.col("doc_id.row").alias(number), F.col("pieces").alias(chosen)
     )
     rows = numbered.join(taken, number).select(*docs.columns, chosen)
-    at = docs.columns.index(text_col)
+    names = docs.columns
+    at = names.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             picked, texts = [], []
-            for i, (text, pieces) in enumerate(zip(batch.column(at), batch.column(len(docs.columns)))):
+            for i, (text, pieces) in enumerate(zip(batch.column(at), batch.column(len(names)))):
                 copies = cut(text.as_py(), pieces.as_py())
                 picked += [i] * len(copies)
                 texts += copies
             columns = [c.take(pa.array(picked, pa.int64())) for c in batch.columns[:-1]]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     mixed = rows.mapInArrow(run, docs.schema)
     if chars_col is not None:
