@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from playmetrics.llm import bpe, chat_format, exact_dedup, language_id, mixing, simhash, toxicity, url_filter
+from playmetrics.llm import bpe, chat_format, exact_dedup, language_id, mixing, quality, simhash, toxicity, url_filter
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,10 @@ def token_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label of the document with a page's id is the page's outcome."""
     labels = _table(spark, sf_dir, "labels")
@@ -127,6 +131,7 @@ QUERIES: dict[str, Query] = {
         op4_chat_formatting,
         op5_exact_dedup,
         op6_source_mixing,
+        op7_quality_rules,
         op9_url_filter,
         op10_byte_level_bpe,
     )
