@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playmetrics.llm import url_filter
+from playmetrics.llm import line_dedup, url_filter
 from playmetrics.llm.queries import PROBE, URL_RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,6 +38,37 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM d WINDOW same AS (PARTITION BY norm)"""
 
 
+def _line_sql() -> str:
+    """Pairs by a shared half, then Levenshtein; no variants."""
+    least = line_dedup.MIN_CHARS
+    white = " || ".join(f"chr({ord(c)})" for c in line_dedup.EDGES)
+    return f"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+every AS (
+  SELECT doc_id, unnest(range(len(l))) AS line, trim(unnest(l), {white}) AS t FROM split),
+long AS (SELECT * FROM every WHERE length(t) >= {least}),
+single AS (
+  SELECT t, length(t) AS n, min(struct_pack(d := doc_id, l := line)) AS first FROM long GROUP BY t),
+halves AS (
+  SELECT t, first, m, unnest(['<' || substr(t, 1, m // 2), '>' || right(t, m - m // 2)]) AS half
+  FROM (SELECT t, first, unnest([n, n - 1]) AS m FROM single)),
+near AS (
+  SELECT DISTINCT b.t FROM halves a JOIN halves b ON a.m = b.m AND a.half = b.half
+  WHERE a.first < b.first AND abs(length(a.t) - length(b.t)) <= 1 AND levenshtein(a.t, b.t) <= 1),
+judged AS (
+  SELECT doc_id, line, struct_pack(d := doc_id, l := line) <> first AS again,
+         t IN (SELECT t FROM near) AS near
+  FROM long JOIN single USING (t)),
+gone AS (
+  SELECT doc_id, count(*) FILTER (again) AS n_exact, count(*) FILTER (NOT again) AS n_near,
+         string_agg(line::VARCHAR, ',' ORDER BY line) AS dropped
+  FROM judged WHERE again OR near GROUP BY doc_id)
+SELECT doc_id, len(l) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+       coalesce(dropped, '') AS dropped
+FROM split LEFT JOIN gone USING (doc_id)"""
+
+
 def _url_sql() -> str:
     fits = lambda r: (
         f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
@@ -93,5 +124,6 @@ FROM ruled JOIN judged USING (host)"""
 SQL: dict[str, str] = {
     "op4_chat_formatting": CHAT,
     "op5_exact_dedup": EXACT,
+    "op8_line_dedup": _line_sql(),
     "op9_url_filter": _url_sql(),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from playmetrics.llm import bpe, chat_format, exact_dedup, language_id, mixing, quality, simhash, toxicity, url_filter
+from playmetrics.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, mixing, quality, simhash, toxicity, url_filter
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    numbers = F.transform("dropped", lambda n: n.cast("string"))
+    return found.select(
+        "doc_id", "n_lines", "n_exact", "n_near", F.array_join(numbers, ",").alias("dropped")
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label of the document with a page's id is the page's outcome."""
     labels = _table(spark, sf_dir, "labels")
@@ -132,6 +140,7 @@ QUERIES: dict[str, Query] = {
         op5_exact_dedup,
         op6_source_mixing,
         op7_quality_rules,
+        op8_line_dedup,
         op9_url_filter,
         op10_byte_level_bpe,
     )
