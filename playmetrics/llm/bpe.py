@@ -2,9 +2,12 @@
 
 Documents are cut into pre-tokens. A block is a run of documents of one task; its distinct words
 are numbered, so that a document becomes a sequence of word numbers, its pre-tokens by position.
-Two things are shuffled: the blocks' distinct words, by word, where each word is encoded once,
-and the sequences, by block, where the word's ids come back and documents are put together by
-position. Texts are never shuffled, and the vocabulary is never gathered. Decoding joins ids with
+Two things are shuffled: the blocks' distinct words, by a hash of the word, so that each word is
+encoded in one place once; and the sequences, by block, where the word's ids come back and documents
+are put together by position. A row holds many words or numbers, packed, since rows of single
+words would take more room than the text. Texts are never shuffled, and the vocabulary is never
+gathered: there are ``BUCKETS_PER_PARTITION`` times as many hash buckets of words as shuffle
+partitions. Decoding joins ids with
 the token-byte table, which has one row per token of the fixed vocabulary.
 
 Blocks are formed twice, for words and for sequences, and carry a digest of their words in order.
@@ -22,6 +25,7 @@ import base64
 import hashlib
 import heapq
 import unicodedata
+import zlib
 from collections.abc import Iterable, Iterator, Mapping
 from functools import cache
 
@@ -34,7 +38,10 @@ from pyspark.sql import types as T
 
 # Bytes of text that are cut at once, and bytes in a block.
 STEP_BYTES = 1 << 21
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 23
+BUCKETS_PER_PARTITION = 4
+# Bytes of ids in one batch of results.
+_OUT_BYTES = 1 << 22
 # Words up to this length are merged by plain search, longer ones with a heap.
 _SHORT = 32
 
@@ -184,40 +191,83 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
         yield block
 
 
-def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in _blocks(batches):
-        key, words, _ = block.close()
-        for at in range(0, len(words), 1 << 16):
-            part = words.slice(at, 1 << 16)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(part), key)),
-                pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                part.cast(pa.binary()),
-            ], names=["block", "number", "word"])
-
-
 def _packed(numbers: np.ndarray) -> bytes:
-    """Small numbers in bytes of equal weight, which compress well."""
-    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T)
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(numbers) else b""
+    """Numbers below 2^32 in bytes of equal weight, which compress well if the numbers are small."""
+    if not len(numbers):
+        return b""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpacked(data: bytes, count: int) -> np.ndarray:
     if not count:
         return np.zeros(0, np.uint32)
     planes = np.frombuffer(pa.decompress(data, 4 * count, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, count).T).view(np.uint32)[:, 0]
+    return np.ascontiguousarray(planes.reshape(4, count).T).view("<u4")[:, 0]
+
+
+def _joined(data: list[bytes] | bytes, lengths: np.ndarray) -> pa.Array:
+    """Byte strings of the given lengths that lie end to end."""
+    edges = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+    whole = data if isinstance(data, bytes) else b"".join(data)
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(edges), pa.py_buffer(whole)]
+    )
+
+
+def _content(strings: pa.Array) -> memoryview:
+    """The bytes of a fresh array of byte strings, end to end."""
+    if not len(strings):
+        return memoryview(b"")
+    edges = np.frombuffer(strings.buffers()[1], np.int64)
+    return memoryview(strings.buffers()[2])[edges[0]:edges[len(strings)]]
+
+
+_WORDS = "bucket int, block long, count int, numbers binary, lengths binary, size long, words binary"
+
+
+def _words(buckets: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per block and bucket: the numbers of the words there, as steps, and the words."""
+        for block in _blocks(batches):
+            key, words, _ = block.close()
+            at = np.fromiter((zlib.crc32(w) for w in words.to_pylist()), np.int64, len(words))
+            at %= buckets
+            order = np.argsort(at, kind="stable")
+            rows = {name: [] for name in ("bucket", "block", "count", "numbers", "lengths", "size",
+                                          "words")}
+            for own in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                if not len(own):
+                    continue
+                mine = words.take(pa.array(own))
+                content = _content(mine)
+                rows["bucket"].append(at[own[0]])
+                rows["block"].append(key)
+                rows["count"].append(len(own))
+                rows["numbers"].append(_packed(np.diff(own, prepend=0)))
+                rows["lengths"].append(_packed(pc.binary_length(mine).to_numpy()))
+                rows["size"].append(len(content))
+                rows["words"].append(pa.compress(content, codec="zstd", asbytes=True))
+            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
+                ("bucket", pa.int32()), ("block", pa.int64()), ("count", pa.int32()),
+                ("numbers", pa.binary()), ("lengths", pa.binary()), ("size", pa.int64()),
+                ("words", pa.binary()),
+            ]))
+    return run
 
 
 def _sequences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per piece of a block: its documents, their lengths, and all word numbers in order."""
     for block in _blocks(batches):
         key, _, numbers = block.close()
         for ids, counts, numbered in zip(block.ids, block.counts, numbers):
-            packed = [_packed(x) for x in np.split(numbered, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(ids), key)), ids, pa.array(counts, pa.int64()),
-                pa.array(packed, pa.binary()),
-            ], names=["block", "doc_id", "count", "sequence"])
+                pa.array([key], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                pa.array([_packed(counts)], pa.binary()),
+                pa.array([len(numbered)], pa.int64()),
+                pa.array([_packed(numbered)], pa.binary()),
+            ], names=["block", "doc_ids", "counts", "size", "sequence"])
 
 
 # --- encoding -----------------------------------------------------------------------------------
@@ -277,77 +327,81 @@ def _encode_long(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     return ids
 
 
+_WORD_IDS = "block long, count int, numbers binary, lengths binary, size long, ids binary"
+
+
 def _encoder(ranks_of):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Encode each distinct word once; its ids go back to every block that has it."""
         ranks = ranks_of.value
         known: dict[bytes, bytes] = {}
+
+        def encoded(word: bytes) -> bytes:
+            ids = known.get(word)
+            if ids is None:
+                ids = known[word] = np.array(encode_word(word, ranks), "<u4").tobytes()
+            return ids
+
         for batch in batches:
-            coded = batch.column("word").dictionary_encode()
-            found = []
-            for word in coded.dictionary.to_pylist():
-                ids = known.get(word)
-                if ids is None:
-                    ids = known[word] = np.array(encode_word(word, ranks), np.uint32).tobytes()
-                found.append(ids)
-            ids = pa.array(found, pa.binary()).take(coded.indices)
-            blocks = batch.column("block").to_numpy()
-            numbers = batch.column("number").to_numpy()
-            order = np.argsort(blocks, kind="stable")
-            edges = np.flatnonzero(np.diff(blocks[order])) + 1
-            rows = {"block": [], "numbers": [], "counts": [], "ids": []}
-            for own in np.split(order, edges):
-                mine = ids.take(pa.array(own))
-                rows["block"].append(blocks[own[0]])
-                rows["numbers"].append(numbers[own].tobytes())
-                rows["counts"].append(
-                    (pc.binary_length(mine).to_numpy() // 4).astype(np.int32).tobytes()
-                )
-                rows["ids"].append(b"".join(mine.to_pylist()))
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-                ("block", pa.int64()), ("numbers", pa.binary()), ("counts", pa.binary()),
-                ("ids", pa.binary()),
-            ]))
+            lengths, sizes, packed = [], [], []
+            for row in batch.to_pylist():
+                content = pa.decompress(row["words"], row["size"], codec="zstd", asbytes=True)
+                words = _joined(content, _unpacked(row["lengths"], row["count"]))
+                ids = [encoded(w) for w in words.to_pylist()]
+                counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                lengths.append(_packed(counts))
+                sizes.append(counts.sum())
+                packed.append(_packed(np.frombuffer(b"".join(ids), "<u4")))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("block"), batch.column("count"), batch.column("numbers"),
+                pa.array(lengths, pa.binary()), pa.array(sizes, pa.int64()),
+                pa.array(packed, pa.binary()),
+            ], names=["block", "count", "numbers", "lengths", "size", "ids"])
     return run
 
 
 def _word_ids(dictionary: pa.Table) -> pa.Array:
     """The ids of a block's words, as bytes, by word number."""
-    join = lambda name, kind: np.frombuffer(b"".join(dictionary.column(name).to_pylist()), kind)
-    numbers = join("numbers", np.int32)
-    size = join("counts", np.int32).astype(np.int64) * 4
-    edges = np.concatenate(([0], np.cumsum(size)))
-    ids = pa.Array.from_buffers(pa.large_binary(), len(size), [
-        None, pa.py_buffer(edges), pa.py_buffer(b"".join(dictionary.column("ids").to_pylist())),
-    ])
-    by_number, at = np.unique(numbers, return_index=True)
-    if len(by_number) and by_number[-1] != len(by_number) - 1:
+    numbers, lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+    for row in dictionary.to_pylist():
+        numbers.append(np.cumsum(_unpacked(row["numbers"], row["count"]), dtype=np.int64))
+        lengths.append(_unpacked(row["lengths"], row["count"]).astype(np.int64) * 4)
+        ids.append(_unpacked(row["ids"], row["size"]).tobytes())
+    # a block that two tasks have alike brings each word twice
+    found, at = np.unique(np.concatenate(numbers), return_index=True)
+    if len(found) and found[-1] != len(found) - 1:
         raise RuntimeError("words of a block are missing: its rows came in another order")
-    return ids.take(pa.array(at))
+    return _joined(ids, np.concatenate(lengths)).take(pa.array(at))
 
 
 def _assemble(dictionary: pa.Table, sequences: pa.Table) -> pa.Table:
+    """Documents of a block as ids, in batches of moderate size."""
     if not sequences.num_rows:
         raise RuntimeError("a block has words but no documents: its rows came in another order")
-    word_ids = _word_ids(dictionary)
-    counts = sequences.column("count").to_numpy()
-    packed = sequences.column("sequence")
-    found = []
-    for count, sequence in zip(counts.tolist(), packed):
-        numbers = _unpacked(sequence.as_py(), count)
-        if count and numbers.max() >= len(word_ids):
+    word_ids = _word_ids(dictionary.select(["count", "numbers", "lengths", "size", "ids"]))
+    kind = sequences.schema.field("doc_ids").type.value_type
+    schema = pa.schema([("doc_id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    batches = []
+    for row in range(sequences.num_rows):
+        size = sequences.column("size")[row].as_py()
+        doc_ids = sequences.column("doc_ids")[row].values
+        counts = _unpacked(sequences.column("counts")[row].as_py(), len(doc_ids))
+        numbers = _unpacked(sequences.column("sequence")[row].as_py(), size)
+        if size and numbers.max() >= len(word_ids):
             raise RuntimeError("a block has no such word: its rows came in another order")
-        mine = word_ids.take(pa.array(numbers))
-        found.append(memoryview(mine.buffers()[2])[:_end(mine)] if count else b"")
-    return pa.table({
-        "doc_id": sequences.column("doc_id"),
-        "n_tokens": pa.array([len(x) // 4 for x in found], pa.int64()),
-        "ids": pa.array(found, pa.binary()),
-    })
-
-
-def _end(array: pa.Array) -> int:
-    return int(np.frombuffer(array.buffers()[1], np.int64)[array.offset + len(array)])
+        edges = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        coded = word_ids.take(pa.array(numbers))
+        bytes_before = np.concatenate(([0], np.cumsum(pc.binary_length(coded).to_numpy())))[edges]
+        content = _content(coded)
+        cuts = np.flatnonzero(np.diff(bytes_before[:-1] // _OUT_BYTES)) + 1
+        for own in np.split(np.arange(len(doc_ids)), cuts):
+            found = [content[bytes_before[i]:bytes_before[i + 1]] for i in own]
+            batches.append(pa.RecordBatch.from_arrays([
+                doc_ids.slice(own[0], len(own)),
+                pa.array([len(x) // 4 for x in found], pa.int64()),
+                pa.array(found, pa.binary()),
+            ], schema=schema))
+    return pa.Table.from_batches(batches, schema)
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -363,14 +417,14 @@ def encode(
     narrow = _narrow(docs, id_col, text_col)
     kind = narrow.schema["doc_id"].dataType
     ranks_of = docs.sparkSession.sparkContext.broadcast(dict(ranks))
-    words = narrow.mapInArrow(_words, "block long, number int, word binary")
-    dictionaries = words.repartition("word").mapInArrow(
-        _encoder(ranks_of), "block long, numbers binary, counts binary, ids binary"
-    )
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = narrow.mapInArrow(_words(BUCKETS_PER_PARTITION * partitions), _WORDS)
+    dictionaries = words.repartition("bucket").mapInArrow(_encoder(ranks_of), _WORD_IDS)
     sequences = narrow.mapInArrow(_sequences, T.StructType([
         T.StructField("block", T.LongType()),
-        T.StructField("doc_id", kind),
-        T.StructField("count", T.LongType()),
+        T.StructField("doc_ids", T.ArrayType(kind)),
+        T.StructField("counts", T.BinaryType()),
+        T.StructField("size", T.LongType()),
         T.StructField("sequence", T.BinaryType()),
     ]))
     return dictionaries.groupBy("block").cogroup(sequences.groupBy("block")).applyInArrow(
@@ -396,7 +450,7 @@ def decode(encoded: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
             texts = []
             for ids in batch.column("ids"):
                 mine = by_id.take(pa.array(np.frombuffer(ids.as_buffer(), np.uint32)))
-                texts.append(memoryview(mine.buffers()[2])[:_end(mine)] if len(mine) else b"")
+                texts.append(_content(mine))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.binary())],
                 names=[*batch.schema.names, "decoded"],
