@@ -1,0 +1,70 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from playmetrics.llm import chat_format
+
+SCHEMA = "conv_id long, turn long, role string, text string, valid boolean, segments int, state int"
+PIECES = ["<|", "|>", "\\", "<", "|", "\n", "<|im_end|>\n", "<|im_start|>assistant\n", "é", "\\n", "<\\|", "<\\n", "a"]
+
+
+def chats(spark, rows):
+    return spark.createDataFrame([(*r, True, 1, 2) for r in rows], SCHEMA)
+
+
+def read(df):
+    out = chat_format.format_chats(df).select(
+        "*", chat_format.parse_turns(F.col("formatted")).alias("turns"),
+        chat_format.loss_text(F.col("segments")).alias("loss"),
+    )
+    return {r["conv_id"]: r for r in out.collect()}
+
+
+def test_random_turns_come_back(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(PIECES) for _ in range(rng.randint(0, 8)))
+    rows = [
+        (c, t, rng.choice(["user", "assistant", "tool\n", word(), None]), rng.choice([word(), None]))
+        for c in range(60) for t in range(rng.randint(1, 6))
+    ]
+    found = read(chats(spark, rows).repartition(4))
+    for conv in range(60):
+        own = [(r or "", t or "") for c, _, r, t in rows if c == conv]
+        got = found[conv]
+        assert [(t["role"], t["text"]) for t in got["turns"]] == own
+        assert got["loss"] == "".join(t for r, t in own if r == "assistant")
+        assert got["n_turns"] == len(own)
+        assert got["formatted"] == "".join(s["text"] for s in got["segments"])
+
+
+@pytest.mark.parametrize("roles, state, valid", [
+    (["system", "user", "assistant"], "answered", True),
+    (["user", "assistant", "user", "assistant"], "answered", True),
+    (["user"], "asked", False),
+    (["assistant"], "invalid", False),
+    (["user", "system", "assistant"], "invalid", False),
+    (["user", "user"], "invalid", False),
+    ([None], "invalid", False),
+])
+def test_turn_order(spark, roles, state, valid):
+    got = read(chats(spark, [(1, i, r, "x") for i, r in enumerate(roles)]))[1]
+    assert (got["state"], got["valid"]) == (state, valid)
+
+
+def test_another_template(spark):
+    template = chat_format.Template(
+        opening="[", between="\n", closing="]\n", learned=("bot",),
+        start="s", accepting=("e",), turns={"s": {"bot": "e"}},
+    )
+    got = chat_format.format_chats(chats(spark, [(1, 0, "bot", "hi")]), template).first()
+    assert got["formatted"] == "[bot\nhi]\n" and got["valid"]
+    assert [s["loss"] for s in got["segments"]] == [False, True, False]
+
+
+def test_nulls_ties_and_empty(spark):
+    rows = [(None, None, None, None), (5, 1, "user", "b"), (5, 1, "user", "a"), (5, 1, "user", "a")]
+    found = read(chats(spark, rows))
+    assert found[None]["n_turns"] == 1
+    assert [t["text"] for t in found[5]["turns"]] == ["a", "a", "b"]
+    assert read(chats(spark, [])) == {}

@@ -1,0 +1,54 @@
+import hashlib
+from collections import defaultdict
+
+from playmetrics.llm import exact_dedup
+from tests.llm.frames import AWKWARD, documents, plain
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[lowered(text)].append(doc_id)
+    return {
+        (i, max(groups[lowered(t)]), len(groups[lowered(t)]), i == max(groups[lowered(t)]),
+         hashlib.sha256(lowered(t).encode()).hexdigest())
+        for i, t in rows
+    }
+
+
+def found(df):
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    return {tuple(r) for r in exact_dedup.exact_dedup(df).select(*columns).collect()}
+
+
+def test_groups_with_one_heavy_digest(spark):
+    texts = AWKWARD + ["Hot Copy" if i % 3 else f"text {i}" for i in range(3000)]
+    df = plain(spark, texts)
+    assert found(df) == expected(list(enumerate(texts)))
+    heavy = exact_dedup.heavy_hitters(exact_dedup.digests(df)).collect()
+    assert {r["group_size"] for r in heavy} >= {2000}
+    assert all(r["group_size"] >= 2 for r in heavy)
+
+
+def test_equal_and_null_ids_leave_exactly_one_row(spark):
+    rows = [(1, "x", "en", "s")] * 3 + [(None, "x", "en", "s"), (None, "y", "en", "s"), (None, "Y", "en", "s")]
+    df = documents(spark, rows)
+    kept = exact_dedup.exact_dedup(df).where("kept").collect()
+    assert sorted((r["doc_id"] is None, r["group_size"]) for r in kept) == [(False, 4), (True, 2)]
+    left = exact_dedup.drop_copies(df)
+    assert left.columns == df.columns and left.count() == 2
+
+
+def test_empty_table(spark):
+    df = plain(spark, [])
+    assert exact_dedup.exact_dedup(df).collect() == []
+    assert exact_dedup.drop_copies(df).collect() == []
+
+
+def test_no_python_in_the_plan(spark):
+    plan = exact_dedup.exact_dedup(plain(spark, ["a", "b"]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,140 @@
+import random
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from playmetrics.llm import mixing
+from tests.llm.frames import AWKWARD, documents, plain
+
+
+def expected_targets(sizes):
+    """``sizes`` by source; caps are applied one round after the other, as fractions."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    left, fixed = Fraction(3, 2) * sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in fixed]
+        total = sum(weight[s] for s in free)
+        over = [s for s in free if left * weight[s] / total > 2 * sizes[s]]
+        if not over:
+            return {s: float(left * weight[s] / total) for s in free} | {s: float(v) for s, v in fixed.items()}
+        for s in over:
+            fixed[s] = 2 * sizes[s]
+        left = Fraction(3, 2) * sum(sizes.values()) - sum(fixed.values())
+
+
+def corpus(seed, docs=1500):
+    rng = random.Random(seed)
+    sources = ["src0"] * 6 + ["b", "ä", "z", None, "", "tiny"]
+    rows = []
+    for i in range(docs):
+        source = rng.choice(sources)
+        words = rng.randint(0, 5) if source == "tiny" else int(rng.lognormvariate(4, 1))
+        rows.append((i, " ".join(f"w{k}" for k in range(words)), "en", source))
+    return rows
+
+
+def by_source(rows):
+    sizes = {}
+    for _, text, _, source in rows:
+        sizes[source] = sizes.get(source, 0) + len((text or "").encode().split())
+    return sizes
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_targets_and_taken(spark, seed):
+    rows = corpus(seed)
+    sizes = by_source(rows)
+    mixed = mixing.mix(documents(spark, rows)).collect()
+    assert len(mixed) == len(rows)
+    wanted = expected_targets(sizes)
+    taken = dict.fromkeys(sizes, 0)
+    text = {i: t for i, t, *_ in rows}
+    for r in mixed:
+        assert r["size"] == len(text[r["doc_id"]].split())
+        assert r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(wanted[r["source"]], rel=1e-12)
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        assert r["taken"] == sum((p["after"] - p["first"]) * p["times"] for p in r["pieces"])
+        taken[r["source"]] += r["taken"]
+    for source, target in wanted.items():
+        assert abs(taken[source] - target) <= 2.5 * mixing.BLOCK_WORDS, source
+
+
+def test_reruns_and_partitions_agree(spark):
+    rows = corpus(3, 400)
+    key = lambda df: sorted((r["doc_id"], r["taken"], str(r["pieces"])) for r in mixing.mix(df).collect())
+    first = key(documents(spark, rows, 2))
+    random.Random(1).shuffle(rows)
+    assert key(documents(spark, rows, 7)) == first
+    other = mixing.mix(documents(spark, rows), seed="another").select("doc_id", "taken").collect()
+    assert sorted((r["doc_id"], r["taken"]) for r in other) != [(i, t) for i, t, _ in first]
+
+
+def highest_quotients(words, seats, limits):
+    """Sainte-Lague seat by seat; ties go to the earlier shard."""
+    held = [0] * len(words)
+    for _ in range(seats):
+        open_ = [i for i in range(len(words)) if held[i] < limits[i]]
+        if not open_:
+            break
+        best = max(open_, key=lambda i: (Fraction(words[i], 2 * held[i] + 1), -i))
+        held[best] += 1
+    return held
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quotas_are_those_of_the_highest_quotients(spark, seed):
+    rng = random.Random(seed)
+    rows, expected = [], {}
+    for source in ("a", "b", None):
+        words = [rng.randint(1, 4000) for _ in range(rng.randint(1, 40))]
+        size = sum(words)
+        seats = rng.randint(0, 2 * size // 128)
+        rows += [(source, i, w, size, seats) for i, w in enumerate(words)]
+        limits = [2 * -(-w // 128) for w in words]
+        expected |= {(source, i): q for i, q in enumerate(highest_quotients(words, seats, limits))}
+    shards = spark.createDataFrame(
+        rows, "source string, shard long, words long, source_size long, seats long"
+    )
+    got = {(r["source"], r["shard"]): r["quota"] for r in mixing.shard_quotas(shards, 128, 2).collect()}
+    assert got == expected
+
+
+def test_mixed_documents_hold_the_taken_words(spark):
+    rows = corpus(4, 300)
+    df = documents(spark, rows)
+    taken = {r["doc_id"]: (r["taken"], r["size"]) for r in mixing.mix(df).collect()}
+    out = mixing.mixed_documents(df, chars_col="n_chars")
+    assert out.columns == df.columns
+    words = dict.fromkeys(taken, 0)
+    copies = dict.fromkeys(taken, 0)
+    source = {i: s for i, _, _, s in rows}
+    for r in out.collect():
+        words[r["doc_id"]] += len(r["text"].split())
+        copies[r["doc_id"]] += 1
+        assert r["n_chars"] == len(r["text"]) and r["source"] == source[r["doc_id"]]
+    assert words == {i: t for i, (t, _) in taken.items()}
+    assert max(copies.values()) == 2
+
+
+def test_cut():
+    text = " a b\nc  d "
+    whole, part = [{"first": 0, "after": 4, "times": 1}], {"first": 1, "after": 2, "times": 1}
+    assert mixing.cut(text, whole) == [text]
+    assert mixing.cut(text, [part]) == ["b"]
+    assert mixing.cut(text, [part, {"first": 2, "after": 4, "times": 2}]) == ["b\nc  d", "c  d"]
+    assert mixing.cut(text, [{"first": 0, "after": 1, "times": 1}, {"first": 3, "after": 4, "times": 1}]) == ["a\nd"]
+
+
+def test_awkward_and_empty(spark):
+    mixed = mixing.mix(plain(spark, AWKWARD)).collect()
+    assert len(mixed) == len(AWKWARD)
+    assert all(r["taken"] <= 2 * r["size"] for r in mixed)
+    nothing = mixing.mix(plain(spark, [None, ""])).collect()
+    assert [(r["size"], r["target"], r["taken"]) for r in nothing] == [(0, 0.0, 0)] * 2
+    assert mixing.mix(plain(spark, [])).collect() == []
+    assert mixing.mixed_documents(plain(spark, [])).collect() == []
+    same = documents(spark, [(1, "x y z", "en", "s")] * 5 + [(None, "x y", "en", "s")] * 2)
+    assert sum(r["taken"] for r in mixing.mix(same).collect()) <= 38

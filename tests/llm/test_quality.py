@@ -1,0 +1,115 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from playmetrics.llm import quality
+from tests.llm.frames import AWKWARD, LONG, documents, plain
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [l for l in text.split("\n") if WORD.search(l)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = set()
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i:i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    n, repeated = len(words), len(covered)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)),
+            repeated, n < 50 or 100 * repeated > 50 * n)
+
+
+def random_text(rng):
+    words = [rng.choice(["a", "bb", "ccc", "#x", "é|", "dddd"]) for _ in range(rng.randint(0, 120))]
+    return "".join(w + rng.choice([" ", " ", "\n", "\t ", "\n\n"]) for w in words)
+
+
+def test_counts(spark):
+    rng = random.Random(1)
+    texts = AWKWARD + ["a a a a", "a b c a b c", "x\nx\n\nx ", "1 2 3 4 1 2 3"] + [random_text(rng) for _ in range(200)]
+    found = {r["doc_id"]: tuple(r)[1:] for r in quality.quality(plain(spark, texts)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"
+    ).collect()}
+    assert found == {i: base(t) for i, t in enumerate(texts)}
+
+
+def slow_distances(x):
+    """The documented estimate with numpy: two starts, concentration by bins, one reweighting."""
+    prior, least = np.array(quality.PRIOR_SPREAD), np.array(quality.LEAST_SPREAD)
+
+    def estimate(rows, factor):
+        n = len(rows)
+        own = np.cov(rows.T, bias=True).reshape(5, 5)
+        weight = quality.PRIOR_DOCS / (n + quality.PRIOR_DOCS)
+        return rows.mean(0), (1 - weight) * factor * own + np.diag(weight * prior ** 2 + least ** 2)
+
+    def distance(rows, mean, scatter):
+        off = rows - mean
+        return np.einsum("ij,jk,ik->i", off, np.linalg.inv(scatter), off)
+
+    cells = np.floor(x / (prior / 20))
+    middle = np.array([np.sort(c)[(len(c) + 1) // 2 - 1] for c in cells.T])
+    median = (middle + 0.5) * prior / 20
+    damped = np.tanh((x - median) / (2 * prior)) * 2 * prior
+    starts = [(median, np.diag(prior ** 2)), (median, estimate(damped, 1.0)[1])]
+    ends = []
+    for mean, scatter in starts:
+        for _ in range(quality.STEPS):
+            bins = np.floor(np.log(distance(x, mean, scatter) + 1e-9) * 16)
+            need = int(np.ceil(len(x) * quality.SUBSET))
+            mean, scatter = estimate(x[bins <= np.sort(bins)[need - 1]], quality.SUBSET_FACTOR)
+        ends.append((np.linalg.slogdet(scatter)[1], mean, scatter))
+    _, mean, scatter = min(ends, key=lambda e: round(e[0], 9))
+    near = x[distance(x, mean, scatter) <= quality.REWEIGHTED_WITHIN]
+    return distance(x, *estimate(near, quality.REWEIGHTED_FACTOR))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_distances_against_numpy(spark, seed):
+    rng = np.random.default_rng(seed)
+    groups = {"=a": rng.normal([5, 5, 0, .1, .1], [1, .3, .001, .1, .1], (400, 5)),
+              "=b": rng.normal([6, 4, .2, 0, 0], [.5, .6, .1, 1e-6, 1e-6], (60, 5)), "null": rng.normal(0, 1, (3, 5))}
+    groups["=a"][:80] += [0, 3, 1, 0, 0]
+    rows = [(g, "=s", *map(float, x)) for g, xs in groups.items() for x in xs]
+    vectors = spark.createDataFrame(rows, "lang_group string, source_group string, " + ", ".join(
+        f"x{i} double" for i in range(5))).repartition(3)
+    estimates = quality.robust_estimates(vectors)
+    found = vectors.join(estimates, ["lang_group", "source_group"]).select(
+        "lang_group", "x0", quality._distance().alias("d")).collect()
+    for group, x in groups.items():
+        got = {r["x0"]: r["d"] for r in found if r["lang_group"] == group}
+        expected = slow_distances(x)
+        np.testing.assert_allclose([got[v] for v in x[:, 0]], expected, rtol=1e-6, atol=1e-9)
+
+
+def test_outliers_are_rejected_and_ordinary_texts_kept(spark):
+    rng = random.Random(4)
+    words = LONG.split()
+    ordinary = [" ".join(rng.choice(words) for _ in range(rng.randint(80, 400))) for _ in range(150)]
+    odd = [" ".join(rng.choice(words) + "***" for _ in range(200)) for _ in range(10)]
+    rows = [(i, t, "en" if i % 2 else None, "s") for i, t in enumerate(ordinary + odd)]
+    found = {r["doc_id"]: r["kept"] for r in quality.quality(documents(spark, rows)).collect()}
+    assert all(found[i] for i in range(150)) and not any(found[i] for i in range(150, 160))
+
+
+def test_lone_documents_are_kept(spark):
+    rows = [(i, LONG[:2000 * (i + 1)], f"l{i}", None) for i in range(4)]
+    assert all(r["kept"] for r in quality.quality(documents(spark, rows)).collect())
+
+
+def test_repeated_rows_and_empty(spark):
+    same = documents(spark, [(1, "x y z " * 30, None, None)] * 3)
+    assert [r["kept"] for r in quality.quality(same).collect()] == [False] * 3
+    assert quality.quality(plain(spark, [])).collect() == []
+
+
+def test_no_python_in_the_plan(spark):
+    plan = quality.quality(plain(spark, ["a", "b"]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
