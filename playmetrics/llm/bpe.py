@@ -187,6 +187,7 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
             if block.size >= BLOCK_BYTES:
                 yield block
                 block = Block()
+                pa.default_memory_pool().release_unused()
     if block.ids:
         yield block
 
@@ -374,14 +375,11 @@ def _word_ids(dictionary: pa.Table) -> pa.Array:
     return _joined(ids, np.concatenate(lengths)).take(pa.array(at))
 
 
-def _assemble(dictionary: pa.Table, sequences: pa.Table) -> pa.Table:
+def _assemble(dictionary: pa.Table, sequences: pa.Table) -> Iterator[pa.RecordBatch]:
     """Documents of a block as ids, in batches of moderate size."""
     if not sequences.num_rows:
         raise RuntimeError("a block has words but no documents: its rows came in another order")
     word_ids = _word_ids(dictionary.select(["count", "numbers", "lengths", "size", "ids"]))
-    kind = sequences.schema.field("doc_ids").type.value_type
-    schema = pa.schema([("doc_id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-    batches = []
     for row in range(sequences.num_rows):
         size = sequences.column("size")[row].as_py()
         doc_ids = sequences.column("doc_ids")[row].values
@@ -396,12 +394,30 @@ def _assemble(dictionary: pa.Table, sequences: pa.Table) -> pa.Table:
         cuts = np.flatnonzero(np.diff(bytes_before[:-1] // _OUT_BYTES)) + 1
         for own in np.split(np.arange(len(doc_ids)), cuts):
             found = [content[bytes_before[i]:bytes_before[i + 1]] for i in own]
-            batches.append(pa.RecordBatch.from_arrays([
+            yield pa.RecordBatch.from_arrays([
                 doc_ids.slice(own[0], len(own)),
                 pa.array([len(x) // 4 for x in found], pa.int64()),
                 pa.array(found, pa.binary()),
-            ], schema=schema))
-    return pa.Table.from_batches(batches, schema)
+            ], names=["doc_id", "n_tokens", "ids"])
+
+
+def _token_table(ranks: Mapping[bytes, int]) -> list[bytes]:
+    """The bytes of each token, by id."""
+    tokens = sorted(ranks, key=ranks.get)
+    if [ranks[t] for t in tokens] != list(range(len(tokens))):
+        raise ValueError("ids must be 0, 1, 2, ... without gaps")
+    return tokens
+
+
+def _with_decoded(batch: pa.RecordBatch, tokens: pa.Array) -> pa.RecordBatch:
+    """Join the ids of each row with the token-byte table."""
+    texts = [
+        _content(tokens.take(pa.array(np.frombuffer(ids.as_buffer(), "<u4"))))
+        for ids in batch.column("ids")
+    ]
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"]
+    )
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -411,12 +427,21 @@ def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def encode(
-    docs: DataFrame, ranks: Mapping[bytes, int], id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    ranks: Mapping[bytes, int],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_decoded: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of every row; ids are little-endian unsigned 32-bit numbers."""
+    """``doc_id, n_tokens, ids`` of every row; ids are little-endian unsigned 32-bit numbers.
+
+    ``with_decoded`` adds what ``decode`` would, in the tasks that have the ids at hand.
+    """
     narrow = _narrow(docs, id_col, text_col)
     kind = narrow.schema["doc_id"].dataType
-    ranks_of = docs.sparkSession.sparkContext.broadcast(dict(ranks))
+    context = docs.sparkSession.sparkContext
+    ranks_of = context.broadcast(dict(ranks))
+    tokens_of = context.broadcast(_token_table(ranks)) if with_decoded else None
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = narrow.mapInArrow(_words(BUCKETS_PER_PARTITION * partitions), _WORDS)
     dictionaries = words.repartition("bucket").mapInArrow(_encoder(ranks_of), _WORD_IDS)
@@ -427,34 +452,35 @@ def encode(
         T.StructField("size", T.LongType()),
         T.StructField("sequence", T.BinaryType()),
     ]))
+
+    def assemble(dictionary: pa.Table, sequences: pa.Table) -> pa.Table:
+        batches = list(_assemble(dictionary, sequences))
+        if tokens_of is not None:
+            tokens = pa.array(tokens_of.value, pa.large_binary())
+            batches = [_with_decoded(batch, tokens) for batch in batches]
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_batches(batches)
+
+    schema = T.StructType([
+        T.StructField("doc_id", kind),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids", T.BinaryType()),
+    ])
+    if with_decoded:
+        schema = schema.add("decoded", T.BinaryType())
     return dictionaries.groupBy("block").cogroup(sequences.groupBy("block")).applyInArrow(
-        _assemble,
-        T.StructType([
-            T.StructField("doc_id", kind),
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids", T.BinaryType()),
-        ]),
+        assemble, schema
     )
 
 
 def decode(encoded: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
-    """``encoded`` with ``decoded``, the bytes of its ids."""
-    tokens = sorted(ranks, key=ranks.get)
-    if [ranks[t] for t in tokens] != list(range(len(tokens))):
-        raise ValueError("ids must be 0, 1, 2, ... without gaps")
-    table = encoded.sparkSession.sparkContext.broadcast(tokens)
+    """``encoded`` with ``decoded``, the bytes of its ``ids``."""
+    tokens_of = encoded.sparkSession.sparkContext.broadcast(_token_table(ranks))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = pa.array(table.value, pa.large_binary())
+        tokens = pa.array(tokens_of.value, pa.large_binary())
         for batch in batches:
-            texts = []
-            for ids in batch.column("ids"):
-                mine = by_id.take(pa.array(np.frombuffer(ids.as_buffer(), np.uint32)))
-                texts.append(_content(mine))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())],
-                names=[*batch.schema.names, "decoded"],
-            )
+            yield _with_decoded(batch, tokens)
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
     return encoded.mapInArrow(run, schema)

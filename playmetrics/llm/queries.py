@@ -99,7 +99,7 @@ def op10_byte_level_bpe(
 def token_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Encode and decode ``docs``; digests of the ids and of the decoded bytes."""
     ranks = bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
-    coded = bpe.decode(bpe.encode(docs, ranks), ranks)
+    coded = bpe.encode(docs, ranks, with_decoded=True)
     return coded.select(
         "doc_id",
         "n_tokens",
