@@ -18,7 +18,8 @@ stored. Groups are rows of a table; nothing is collected.
 
 Nulls and edge cases: a null text has no words. Null is a language or source like any other.
 Repeated rows count repeatedly. An empty table gives no rows. Only id, text, language and source are
-read; a text is held whole by one task. Windows are compared by 64-bit hashes.
+read; a text is held whole by one task. Windows are compared by hashes
+and, where these agree, by their words.
 """
 
 from __future__ import annotations
@@ -50,43 +51,85 @@ _GROUP = ["lang_group", "source_group"]
 _BINS = 16
 _MEDIAN_BINS = 20
 
+# Bits of a code that tell a window's place; the others are its hash.
+_PLACE_BITS = 20
+
 _NOT_WORD = r"[\x20\x09-\x0D]+"
 _SYMBOLS = "#*$%&|<>"
 
 
 # --- statistics of a text ---------------------------------------------------------------------------
 
-def _covered(windows: Column, distinct: Column) -> Column:
-    """How many words lie in three-word windows that occur more than once."""
-    ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    # places of equal hashes, one list per hash, by walking the sorted hashes once
-    marked = F.zip_with(
-        ordered,
-        F.concat(F.array(F.lit(None)), F.slice(ordered, 1, F.size(ordered) - 1)),
-        lambda here, before: F.struct(
-            here["i"].alias("i"), F.coalesce(here["h"] == before["h"], F.lit(False)).alias("again")
-        ),
+def _word(i: Column) -> Column:
+    return F.get("words", i)
+
+
+def _windows_differ(i: Column, j: Column) -> Column:
+    return (
+        (_word(i) != _word(j)) | (_word(i + 1) != _word(j + 1)) | (_word(i + 2) != _word(j + 2))
     )
-    repeated = F.filter(
-        F.zip_with(
-            marked,
-            F.concat(F.slice(marked, 2, F.size(marked)), F.array(F.lit(None))),
-            lambda here, after: F.when(
-                here["again"] | F.coalesce(after["again"], F.lit(False)), here["i"]
-            ),
-        ),
-        lambda i: i.isNotNull(),
+
+
+def _head(code: Column) -> Column:
+    return F.shiftright(code, _PLACE_BITS)
+
+
+def _place(code: Column) -> Column:
+    return code.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int")
+
+
+def _coded() -> Column:
+    """Each window's hash with its place in the low bits: plain numbers, which sort fast."""
+    last = F.size("words") - 3
+    code = lambda i: (
+        F.xxhash64(_word(i), _word(i + 1), _word(i + 2))
+        .bitwiseAND(F.lit(-(1 << _PLACE_BITS))).bitwiseOR(i.cast("long"))
     )
+    return F.when(last >= 0, F.sort_array(F.transform(F.sequence(F.lit(0), last), code))).otherwise(
+        F.array().cast("array<bigint>")
+    )
+
+
+def _alike() -> Column:
+    """The codes whose hash a neighbour in order shares."""
+    at = lambda k: _head(F.get("codes", k))
+    return F.filter(
+        "codes", lambda code, k: (_head(code) == at(k - 1)) | (_head(code) == at(k + 1))
+    )
+
+
+def _collided() -> Column:
+    """Whether windows of different words share a hash, or there are more than places for them."""
+    before = lambda k: F.get("alike", k - 1)
+    differ = F.transform("alike", lambda code, k: (
+        (_head(code) == _head(before(k))) & _windows_differ(_place(code), _place(before(k)))
+    ))
+    return F.exists(differ, lambda d: d) | (F.size("words") > (1 << _PLACE_BITS))
+
+
+def _exactly_repeated() -> Column:
+    """Places of windows that occur more than once, by sorting the words themselves."""
+    windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.struct(
+        _word(i).alias("a"), _word(i + 1).alias("b"), _word(i + 2).alias("c"), i.alias("i")
+    )))
+    same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+    return F.transform(
+        F.filter(windows, lambda w, k: same(w, F.get(windows, k - 1)) | same(w, F.get(windows, k + 1))),
+        lambda w: w["i"],
+    )
+
+
+def _covered(places: Column) -> Column:
+    """How many words lie in three-word windows at ``places``."""
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("total"))
-    total = F.aggregate(
-        F.sort_array(repeated),
+    return F.aggregate(
+        F.sort_array(places),
         start,
         lambda seen, i: F.struct(
             (i + 3).alias("end"), (seen["total"] + i + 3 - F.greatest(i, seen["end"])).alias("total")
         ),
         lambda seen: seen["total"],
     )
-    return F.when(distinct < F.size(windows), total).otherwise(0)
 
 
 def statistics(
@@ -111,22 +154,18 @@ def statistics(
         (F.length("text") - F.length(F.translate("text", _SYMBOLS, ""))).alias("n_symbols"),
         F.filter(F.split("text", "\n"), lambda l: l.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
-    last = F.size("words") - 3
-    word = lambda i: F.get("words", i)
-    windows = F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2))
-    )).otherwise(F.array().cast("array<bigint>"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
+    repeated = F.when(_collided(), _exactly_repeated()).otherwise(F.transform("alike", _place))
     counted = cut.select(
-        "doc_id", *_GROUP,
+        "doc_id", *_GROUP, "words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        windows.alias("windows"),
-    ).select("*", F.size(F.array_distinct("windows")).alias("distinct")).select(
-        "doc_id", *_GROUP, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-        _covered(F.col("windows"), F.col("distinct")).cast("long").alias("n_repeat_words"),
+        _coded().alias("codes"),
+    ).select("doc_id", *_GROUP, *counts, "words", _alike().alias("alike")).select(
+        "doc_id", *_GROUP, *counts, _covered(repeated).cast("long").alias("n_repeat_words")
     )
     n, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)

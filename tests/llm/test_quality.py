@@ -31,7 +31,10 @@ def random_text(rng):
     return "".join(w + rng.choice([" ", " ", "\n", "\t ", "\n\n"]) for w in words)
 
 
-def test_counts(spark):
+@pytest.mark.parametrize("place_bits", [20, 5, 62])
+def test_counts(spark, monkeypatch, place_bits):
+    """With few bits for places, or for the hash, the words themselves are sorted."""
+    monkeypatch.setattr(quality, "_PLACE_BITS", place_bits)
     rng = random.Random(1)
     texts = AWKWARD + ["a a a a", "a b c a b c", "x\nx\n\nx ", "1 2 3 4 1 2 3"] + [random_text(rng) for _ in range(200)]
     found = {r["doc_id"]: tuple(r)[1:] for r in quality.quality(plain(spark, texts)).select(
