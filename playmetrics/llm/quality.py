@@ -107,16 +107,21 @@ def _collided() -> Column:
     return F.exists(differ, lambda d: d) | (F.size("words") > (1 << _PLACE_BITS))
 
 
-def _exactly_repeated() -> Column:
-    """Places of windows that occur more than once, by sorting the words themselves."""
-    windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.struct(
+def _sorted_windows() -> Column:
+    """Windows with their places, in the order of their words."""
+    return F.sort_array(F.transform(F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.struct(
         _word(i).alias("a"), _word(i + 1).alias("b"), _word(i + 2).alias("c"), i.alias("i")
     )))
-    same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
-    return F.transform(
-        F.filter(windows, lambda w, k: same(w, F.get(windows, k - 1)) | same(w, F.get(windows, k + 1))),
-        lambda w: w["i"],
-    )
+
+
+def _exactly_repeated() -> Column:
+    """Places of windows that a neighbour in the order of words equals."""
+    def same(window: Column, k: Column) -> Column:
+        other = F.get("windows", k)
+        return (window["a"] == other["a"]) & (window["b"] == other["b"]) & (window["c"] == other["c"])
+
+    found = F.filter("windows", lambda window, k: same(window, k - 1) | same(window, k + 1))
+    return F.transform(found, lambda window: window["i"])
 
 
 def _covered(places: Column) -> Column:
@@ -155,7 +160,9 @@ def statistics(
         F.filter(F.split("text", "\n"), lambda l: l.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
     counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
-    repeated = F.when(_collided(), _exactly_repeated()).otherwise(F.transform("alike", _place))
+    repeated = F.when(F.col("windows").isNotNull(), _exactly_repeated()).otherwise(
+        F.transform("alike", _place)
+    )
     counted = cut.select(
         "doc_id", *_GROUP, "words",
         F.size("words").cast("long").alias("n_words"),
@@ -165,6 +172,8 @@ def statistics(
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _coded().alias("codes"),
     ).select("doc_id", *_GROUP, *counts, "words", _alike().alias("alike")).select(
+        "doc_id", *_GROUP, *counts, "alike", F.when(_collided(), _sorted_windows()).alias("windows")
+    ).select(
         "doc_id", *_GROUP, *counts, _covered(repeated).cast("long").alias("n_repeat_words")
     )
     n, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
