@@ -19,7 +19,7 @@ g_items AS (SELECT p_partkey AS item_code, p_name AS game_items FROM part),
 g_events AS (
   SELECT event_id AS transaction_id,
          CASE WHEN event_type = 'signup' THEN -1 - user_id ELSE user_id END AS id,
-         ts AS date,
+         ts + to_days(((ts::DATE - DATE '2024-01-01') * (user_id % 7) * 100)::INTEGER) AS date,
          CASE WHEN event_type = 'error' THEN 0 WHEN event_type <> 'view' THEN value END
            ::DECIMAL(18,2) AS amount,
          regexp_extract(props, '([0-9]+)', 1)::BIGINT AS item_code
@@ -39,6 +39,7 @@ def _money(cents: str, below: str) -> str:
     return f"((2 * ({cents})::HUGEINT + ({below})::HUGEINT) // (2 * ({below})::HUGEINT))::DOUBLE / 100"
 
 
+# Result columns and segment labels, here and in ``playmetrics/plans``.
 _CENTS = "sum((amount * 100)::HUGEINT)"
 
 # name of the stage -> its definition; later ones read earlier ones

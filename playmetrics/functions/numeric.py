@@ -7,19 +7,23 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(28,2)"
 COUNT = "decimal(20,0)"
 
 
-def ratio(numerator: Column, denominator: Column, places: int) -> Column:
+def money(scale: int) -> str:
+    """The type of a sum of amounts."""
+    return f"decimal({26 + scale},{scale})"
+
+
+def ratio(numerator: Column, denominator: Column, places: int, scale: int = 2) -> Column:
     """``numerator / denominator`` rounded once, at ``places`` decimals.
 
     ``round(a / b)`` on decimals rounds twice: the division keeps a limited scale, which
     can lift a quotient just under a tie onto it. Dividing whole numbers avoids that:
-    ``(2a + b) div 2b``. The numerator is a count or an amount with two decimals, the
+    ``(2a + b) div 2b``. The numerator is a count or an amount with at most ``scale`` decimals, the
     denominator a count. A zero denominator raises under ANSI; a NULL numerator is NULL.
     """
-    top = numerator.cast(MONEY)
+    top = numerator.cast(money(scale))
     below = denominator.cast(COUNT)
     steps = F.call_function(
         "div", F.abs(top) * F.lit(2 * 10 ** places) + below, below * F.lit(2)

@@ -1,89 +1,34 @@
-"""Previous value per key, also where one key holds a large part of the rows."""
+"""Previous timestamp per key, with windows no larger than a day of a key."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playmetrics.operators.ordering import with_position
-from playmetrics.storage import store
-
-HOT_ROWS = 5_000_000
-CHUNK_ROWS = 1_000_000
-# a broadcast of this many keys stays around ten megabytes
-BROADCAST_KEYS = 200_000
-
 
-def _nulls_last(names: Sequence[str]) -> list:
-    return [F.col(n).asc_nulls_last() for n in names]
+def lag_time(df: DataFrame, key: str, time: str, ties: str, out: str) -> DataFrame:
+    """Add ``out``: ``time`` of the row before, within ``key``, ordered by ``time``, then ``ties``.
 
+    A window over a key would send all its rows to one task. Here rows are ordered within a key's
+    day; the first row of a day takes the last time of the day before, which comes from an
+    aggregate with a row per key and day. A key with most of the rows is thus spread over its
+    days; what one key does on one day still meets in one task.
 
-def lag_by_key(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    value: str,
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """Add ``out``: ``value`` of the row before, within ``key``, ordered by ``order``.
-
-    A window sends all rows of a key to one task. Keys with more than ``hot_rows`` rows
-    are therefore handled apart: their rows are numbered globally and cut into chunks of
-    ``chunk_rows``, and the first row of a chunk takes the last one of the chunk before.
-    NULL keys form one group, as in a window.
+    NULLs come last in both orders; NULL keys form one group, as in a window.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = store(
-        counts.where(F.col("_rows") > hot_rows).select(F.col(key).alias("_hot"))
-    )
-    hot_keys = hot.count()
-    if hot_keys == 0:
-        return _by_window(df, key, order, value, out)
-    if hot_keys <= BROADCAST_KEYS:
-        hot = F.broadcast(hot)
-    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    cold = df.join(hot, is_hot, "left_anti")
-    busy = df.join(hot, is_hot, "left_semi")
-    return _by_window(cold, key, order, value, out).unionByName(
-        _by_chunks(busy, key, order, value, out, chunk_rows)
-    )
-
-
-def _by_window(df: DataFrame, key: str, order: Sequence[str], value: str, out: str) -> DataFrame:
-    within = Window.partitionBy(key).orderBy(*_nulls_last(order))
-    return df.withColumn(out, F.lag(value).over(within))
-
-
-def _by_chunks(
-    df: DataFrame, key: str, order: Sequence[str], value: str, out: str, chunk_rows: int
-) -> DataFrame:
-    # _copy separates identical rows, so that the range sort can split a run of them
-    numbered = with_position(
-        df.withColumn("_copy", F.monotonically_increasing_id()),
-        _nulls_last([key, *order, "_copy"]),
-    )
-    chunk = F.call_function(
-        "div", F.col("position") - F.lit(1), F.lit(chunk_rows).cast("bigint")
-    )
-    current = F.struct(F.col(key).alias("k"), F.col(value).alias("v"))
-    rows = numbered.withColumn("_chunk", chunk).withColumn("_row", current)
-    within = Window.partitionBy("_chunk").orderBy("position")
-    ends = rows.groupBy((F.col("_chunk") + F.lit(1)).alias("_chunk")).agg(
-        F.max_by("_row", "position").alias("_end")
+    # a struct is never NULL itself, so the join and the window agree on their key
+    day = F.struct(F.col(key).alias("key"), F.to_date(time).alias("day"))
+    rows = df.withColumn("_day", day)
+    lasts = rows.groupBy("_day").agg(F.max(time).alias("_last"))
+    days = Window.partitionBy("_day.key").orderBy(F.col("_day.day").asc_nulls_last())
+    before = lasts.select("_day", F.lag("_last").over(days).alias("_before"))
+    within = Window.partitionBy("_day").orderBy(
+        F.col(time).asc_nulls_last(), F.col(ties).asc_nulls_last()
     )
-    before = F.coalesce(F.lag("_row").over(within), F.col("_end"))
     return (
-        rows.join(ends, "_chunk", "left")
-        .withColumn("_prev", before)
-        .withColumn(
-            out,
-            F.when(F.col("_prev").isNotNull() & F.col("_prev.k").eqNullSafe(F.col(key)),
-                   F.col("_prev.v")),
-        )
-        .select(*df.columns, out)
+        rows.join(before, "_day")
+        .withColumn("_first", F.row_number().over(within) == 1)
+        .withColumn("_earlier", F.lag(time).over(within))
+        .select(*df.columns, F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_earlier")).alias(out))
     )

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from playmetrics.functions.numeric import COUNT, quotient, ratio, whole
-from playmetrics.operators.distinct import count_distinct, marked, merge
-from playmetrics.operators.lag import CHUNK_ROWS, HOT_ROWS, lag_by_key
+from playmetrics.operators.distinct import mark, marked, merge
+from playmetrics.operators.lag import lag_time
 from playmetrics.operators.ordering import tile, with_position
-from playmetrics.plans.players import per_player, positive, positive_marks
+from playmetrics.plans.players import by_id, per_player, positive
 from playmetrics.schema import GameTables
+from playmetrics.storage import store
 
 # Segment labels, from the smallest to the largest mean gap.
 LABELS = ("высокая частота", "умеренная частота", "низкая частота")
@@ -26,15 +27,10 @@ LABELS = ("высокая частота", "умеренная частота",
 MIN_TRANSACTIONS = 25
 
 
-def purchase_gaps(
-    tables: GameTables, hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
+def purchase_gaps(tables: GameTables) -> DataFrame:
     """Every positive purchase with the player's previous one and the calendar days between."""
     purchases = tables.events.where(positive()).select("transaction_id", "id", "date")
-    lagged = lag_by_key(
-        purchases, "id", ["date", "transaction_id"], "date", "previous_transaction",
-        hot_rows, chunk_rows,
-    )
+    lagged = lag_time(purchases, "id", "date", "transaction_id", "previous_transaction")
     day, previous_day = F.to_date("date"), F.to_date("previous_transaction")
     return lagged.select(
         "transaction_id",
@@ -45,47 +41,65 @@ def purchase_gaps(
     )
 
 
-def _summaries(tables: GameTables) -> DataFrame:
+def _stored_marks(tables: GameTables) -> DataFrame | None:
+    """Transaction ids of each player's positive purchases with what summaries need; stored.
+
+    Only needed, and only read, where ids may repeat.
+    """
+    if tables.transactions_are_unique():
+        return None
+    return store(mark(
+        tables.events.where(positive()), ["id"], "transaction_id", **_measures()
+    ))
+
+
+def _measures() -> dict:
+    return {
+        "rows": F.count(F.lit(1)),
+        "_dated": F.count("date"),
+        "_first": F.min("date"),
+        "_last": F.max("date"),
+    }
+
+
+def _summaries(tables: GameTables, marks: DataFrame | None) -> DataFrame:
     """Per player and payer flag: positive purchases and the mean gap in days.
 
     ``span / gaps`` is the mean, ``rows`` the purchases it stands for.
     """
-    players = per_player(
-        tables.events.where(positive()),
-        count_transactions=F.count("transaction_id"),
-        rows=F.count(F.lit(1)),
-        _dated=F.count("date"),
-        _first=F.min("date"),
-        _last=F.max("date"),
-    )
-    if not tables.transactions_are_unique():
-        distinct = positive_marks(tables).groupBy("id").agg(marked().alias("_n"))
-        # NULL ids are left out of the marks; their purchases are counted apart
-        nobody = count_distinct(
-            tables.events.where(positive() & F.col("id").isNull()), [], "transaction_id", "_nobody"
+    if marks is None:
+        players = per_player(
+            tables.events.where(positive()),
+            count_transactions=F.count("transaction_id"), **_measures(),
         )
-        recount = F.when(F.col("id").isNull(), F.col("_nobody")).otherwise(
-            F.coalesce("_n", F.lit(0))
-        )
-        players = (
-            players.join(distinct, "id", "left").crossJoin(F.broadcast(nobody))
-            .withColumn("count_transactions", recount)
+    else:
+        players = marks.groupBy("id").agg(
+            marked().alias("count_transactions"),
+            F.sum("rows").alias("rows"),
+            F.sum("_dated").alias("_dated"),
+            F.min("_first").alias("_first"),
+            F.max("_last").alias("_last"),
         )
     gaps = F.when(F.col("_dated") > 1, F.col("_dated") - F.lit(1))
     span = F.datediff(F.to_date("_last"), F.to_date("_first"))
     return (
-        players.join(tables.users.select("id", "payer").distinct(), "id", "left")
+        players.join(by_id(tables.users.select("id", "payer")).distinct(), "id", "left")
         .select("id", "payer", "count_transactions", "rows", span.alias("span"), gaps.alias("gaps"))
         .withColumn("avg_gap", quotient(F.col("span"), F.col("gaps")))
     )
 
 
 def player_gap_summary(tables: GameTables) -> DataFrame:
-    return _summaries(tables).select("id", "payer", "count_transactions", "avg_gap")
+    """Where transaction ids may repeat, calling this runs a job that stores their marks."""
+    return _summaries(tables, _stored_marks(tables)).select(
+        "id", "payer", "count_transactions", "avg_gap"
+    )
 
 
-def _tiled(tables: GameTables, min_transactions: int, tiles: int) -> DataFrame:
-    frequent = _summaries(tables).where(F.col("count_transactions") >= min_transactions)
+def _tiled(
+    tables: GameTables, marks: DataFrame | None, min_transactions: int, tiles: int
+) -> DataFrame:
+    frequent = _summaries(tables, marks).where(F.col("count_transactions") >= min_transactions)
     # a player listed with several payer flags pays if any of them says so
     pays = F.max(F.when((F.col("payer") == 1) & F.col("id").isNotNull(), True))
     frequent = frequent.withColumn("pays", pays.over(Window.partitionBy("id")))
@@ -97,15 +111,19 @@ def _tiled(tables: GameTables, min_transactions: int, tiles: int) -> DataFrame:
 def gap_tiles(
     tables: GameTables, min_transactions: int = MIN_TRANSACTIONS, tiles: int = len(LABELS)
 ) -> DataFrame:
-    """Players with enough purchases in equal tiles, tile 1 buying most often."""
-    return _tiled(tables, min_transactions, tiles).select("id", "payer", "avg_gap", "parts_by_gap")
+    """Players with enough purchases in equal tiles, tile 1 buying most often.
+
+    Calling this, or what builds on it below, runs a job that stores the sorted players.
+    """
+    marks = _stored_marks(tables)
+    return _tiled(tables, marks, min_transactions, tiles).select("id", "payer", "avg_gap", "parts_by_gap")
 
 
 def _labelled(
-    tables: GameTables, min_transactions: int, labels: Sequence[str]
+    tables: GameTables, marks: DataFrame | None, min_transactions: int, labels: Sequence[str]
 ) -> DataFrame:
     label = F.element_at(F.array(*map(F.lit, labels)), F.col("parts_by_gap").cast("int"))
-    return _tiled(tables, min_transactions, len(labels)).withColumn("users_group", label)
+    return _tiled(tables, marks, min_transactions, len(labels)).withColumn("users_group", label)
 
 
 def gap_segments(
@@ -114,7 +132,7 @@ def gap_segments(
     labels: Sequence[str] = LABELS,
 ) -> DataFrame:
     """The tiles by name."""
-    return _labelled(tables, min_transactions, labels).select(
+    return _labelled(tables, _stored_marks(tables), min_transactions, labels).select(
         "id", "payer", "avg_gap", "users_group"
     )
 
@@ -124,7 +142,8 @@ def segment_paying_players(
     min_transactions: int = MIN_TRANSACTIONS,
 ) -> DataFrame:
     """Ids of the players in any segment who pay. No order is needed to find them."""
-    frequent = _summaries(tables).where(F.col("count_transactions") >= min_transactions)
+    players = _summaries(tables, _stored_marks(tables))
+    frequent = players.where(F.col("count_transactions") >= min_transactions)
     return frequent.where(F.col("payer") == 1).select("id")
 
 
@@ -137,13 +156,15 @@ def frequency_segments(
 
     The mean gap is weighted by purchases: each player's mean counts once per purchase.
     """
-    segments = _labelled(tables, min_transactions, labels)
+    marks = _stored_marks(tables)
+    segments = _labelled(tables, marks, min_transactions, labels)
     known = F.col("id").isNotNull()
     weight = F.when(F.col("gaps").isNotNull(), F.when(known, F.col("rows")).otherwise(1))
     weighted = quotient(F.col("span").cast(COUNT) * weight, F.col("gaps"))
     players = segments.groupBy("users_group", "id").agg(
         F.max(F.when(known, F.col("count_transactions"))).alias("transactions"),
         F.max("pays").alias("pays"),
+        F.min("parts_by_gap").alias("part"),
         F.sum(weight).alias("weight"),
         F.sum(weighted).alias("weighted"),
     )
@@ -153,11 +174,12 @@ def frequency_segments(
         F.coalesce(F.sum("transactions"), F.lit(0)).alias("transactions"),
         F.sum("weight").alias("weight"),
         F.sum("weighted").alias("weighted"),
+        F.min("part").alias("part"),
     )
-    if not tables.transactions_are_unique():
+    if marks is not None:
         members = segments.where(known).select("id", "users_group").distinct()
         recount = (
-            merge(positive_marks(tables).join(members, "id"), ["users_group"])
+            merge(marks.join(members, "id"), ["users_group"])
             .groupBy("users_group")
             .agg(marked().alias("recount"))
         )
@@ -172,4 +194,5 @@ def frequency_segments(
         ratio(F.col("paying_users"), users, 2).alias("share_paying_users"),
         ratio(F.col("transactions"), users, 2).alias("count_transaction"),
         whole(F.col("weighted") / F.col("weight").cast(COUNT)).alias("avg_gap"),
-    ).orderBy(F.asc_nulls_last("avg_gap"), "users_group")
+        "part",
+    ).orderBy(F.asc_nulls_last("avg_gap"), "part").drop("part")

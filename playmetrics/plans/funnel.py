@@ -63,7 +63,7 @@ def _race_totals(tables: GameTables) -> DataFrame:
         transactions=F.count("transaction_id"),
         positive_rows=F.count_if(positive()),
         positive=F.count(F.when(positive(), F.col("transaction_id"))),
-        spent=F.sum(F.when(positive(), F.col("amount"))),
+        spent=F.sum(F.when(positive(), tables.money())),
     ).withColumn("bought", F.lit(True))
     pays = F.max(F.when(F.col("payer") == 1, True))
     players = users_by(tables, "race_id", pays=pays).join(facts, "id", "left")
@@ -109,11 +109,12 @@ def race_paying_share(tables: GameTables) -> DataFrame:
     )
 
 
-def _activity_columns() -> list:
+def _activity_columns(tables: GameTables) -> list:
+    scale = tables.amount_scale
     return [
         ratio(F.col("positive"), F.col("count_purshasing_u"), 2).alias("avg_purshases"),
-        ratio(F.col("spent"), F.col("positive"), 2).alias("avg_amount_transaction"),
-        ratio(F.col("spent"), F.col("count_purshasing_u"), 2).alias("avg_amount_u"),
+        ratio(F.col("spent"), F.col("positive"), 2, scale).alias("avg_amount_transaction"),
+        ratio(F.col("spent"), F.col("count_purshasing_u"), 2, scale).alias("avg_amount_u"),
     ]
 
 
@@ -129,7 +130,7 @@ def race_activity(tables: GameTables) -> DataFrame:
     return (
         totals.join(races, named, "left")
         .withColumn("count_purshasing_u", known)
-        .select(*RACE_KEY, *_activity_columns())
+        .select(*RACE_KEY, *_activity_columns(tables))
     )
 
 
@@ -153,5 +154,5 @@ def race_funnel(tables: GameTables) -> DataFrame:
         ratio(purchasing, F.col("count_all_u"), 2).alias("share_purchasing_u"),
         "count_paying_u",
         ratio(F.col("count_paying_u"), purchasing, 2).alias("share_paying_u"),
-        *_activity_columns(),
+        *_activity_columns(tables),
     ).orderBy(F.desc_nulls_first("avg_purshases"), "race_id", "race")

@@ -1,4 +1,4 @@
-"""Share of paying players, overall and by race."""
+"""Share of paying players, overall and by group."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.functions.numeric import ratio
-from playmetrics.operators.distinct import count_distinct
+from playmetrics.operators.distinct import count_distinct, mark, marked, merge
 from playmetrics.schema import GameTables
 
+# The column names of these results, in this and the other modules of this folder.
+
 
 def payer_share_overall(tables: GameTables) -> DataFrame:
     """Players with a known payer flag, how many pay, and their share."""
@@ -20,11 +22,30 @@ def payer_share_overall(tables: GameTables) -> DataFrame:
     )
 
 
-def payer_share_by_race(tables: GameTables) -> DataFrame:
-    """The same by race name; players of unknown race form the NULL group."""
-    users = tables.users.join(tables.race, "race_id", "left")
-    by_race = count_distinct(users, ["race"], "id", "all_users", paying_users=F.sum("payer"))
+def _with_share(groups: DataFrame, group: str) -> DataFrame:
     share = ratio(F.col("paying_users"), F.col("all_users"), 2)
-    return by_race.withColumn("share_paying_users", share).orderBy(
-        F.desc_nulls_first("share_paying_users"), "race"
+    return groups.withColumn("share_paying_users", share).orderBy(
+        F.desc_nulls_first("share_paying_users"), group
+    )
+
+
+def payer_share_by(tables: GameTables, group: str) -> DataFrame:
+    """Payers by a column of ``users``; players without a value form the NULL group."""
+    paying = F.sum("payer")
+    return _with_share(
+        count_distinct(tables.users, [group], "id", "all_users", paying_users=paying), group
+    )
+
+
+def payer_share_by_race(tables: GameTables) -> DataFrame:
+    """Payers by race name; players of unknown race form the NULL group.
+
+    Players are counted per ``race_id`` first, so that the join with the names, on a key with few
+    values, moves no player rows.
+    """
+    per_id = mark(tables.users, ["race_id"], "id", paying=F.sum("payer"))
+    named = per_id.join(tables.race, "race_id", "left")
+    by_race = merge(named, ["race"], paying=F.sum("paying")).groupBy("race").agg(
+        marked().alias("all_users"), F.sum("paying").alias("paying_users")
     )
+    return _with_share(by_race, "race")

@@ -15,6 +15,7 @@ from playmetrics.schema import GameTables
 
 
 def positive() -> Column:
+    """Decided on the amount as stored, so that the filter reaches the scan."""
     return F.col("amount") > 0
 
 
@@ -33,9 +34,14 @@ def transacting(tables: GameTables) -> DataFrame:
     return mark(tables.events.where(known), [], "id")
 
 
+def by_id(users: DataFrame) -> DataFrame:
+    """``users`` dealt out by id, which then serves a grouping by more columns and a join by id."""
+    return users.repartition("id")
+
+
 def users_by(tables: GameTables, *columns: str, **measures: Column) -> DataFrame:
     """``users`` with one row per id and ``columns``; ``copies`` says how many it stands for."""
-    return tables.users.groupBy("id", *columns).agg(
+    return by_id(tables.users).groupBy("id", *columns).agg(
         F.count(F.lit(1)).alias("copies"), *[m.alias(name) for name, m in measures.items()]
     )
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmetrics.functions.numeric import ratio
-from playmetrics.operators.distinct import count_distinct
+from playmetrics.functions.numeric import money, ratio
+from playmetrics.operators.distinct import mark, marked, merge
 from playmetrics.operators.ordering import histogram, lower_median, with_position
 from playmetrics.plans.players import per_player, positive, users_by
 from playmetrics.schema import GameTables
@@ -15,29 +15,31 @@ from playmetrics.schema import GameTables
 def purchase_amount_profile(tables: GameTables) -> DataFrame:
     """Count, sum, extremes, mean, median and sample deviation of positive amounts.
 
-    Everything comes from one histogram of amounts, so purchases are read once. The
-    deviation sums exact squares around the mean rounded to cents.
+    Everything comes from one histogram of amounts, so purchases are read once. Calling this runs
+    a job that stores the histogram. The deviation sums squares around the rounded mean.
     """
-    hist = histogram(
-        tables.events.where(positive()), "amount", transactions=F.count("transaction_id")
+    scale = tables.amount_scale
+    priced = tables.events.where(positive()).select(
+        "transaction_id", tables.money().alias("amount")
     )
+    hist = histogram(priced, "amount", transactions=F.count("transaction_id"))
     amount, rows = F.col("amount"), F.col("rows")
     totals = hist.agg(
         F.coalesce(F.sum("transactions"), F.lit(0)).alias("count_transaction"),
-        F.sum(amount * rows).cast("decimal(28,2)").alias("sum_amount"),
+        F.sum(amount * rows).cast(money(scale)).alias("sum_amount"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
         F.sum("rows").alias("_n"),
-    ).withColumn("avg_amount", ratio(F.col("sum_amount"), F.col("_n"), 2))
+    ).withColumn("avg_amount", ratio(F.col("sum_amount"), F.col("_n"), 2, scale))
 
-    off = ((amount - F.col("avg_amount")) * F.lit(100)).cast("decimal(19,0)")
+    off = (amount - F.col("avg_amount")).cast("double")
     spread = hist.crossJoin(F.broadcast(totals.select("avg_amount"))).agg(
-        F.sum((off * off).cast("decimal(38,0)") * rows).alias("_squares"),
-        F.sum(off * rows).alias("_offset"),
+        F.sum(off * off * rows).alias("_squares"), F.sum(off * rows).alias("_offset")
     )
-    n, shift = F.col("_n").cast("double"), F.col("_offset").cast("double")
-    variance = (F.col("_squares").cast("double") - shift * shift / n) / (n - F.lit(1.0))
-    deviation = F.when(F.col("_n") > 1, F.sqrt(variance) / F.lit(100.0))
+    n, shift = F.col("_n").cast("double"), F.col("_offset")
+    variance = (F.col("_squares") - shift * shift / n) / (n - F.lit(1.0))
+    # settled at nine decimals, where the order of the sums does not show
+    deviation = F.round(F.when(F.col("_n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))), 9)
     return (
         totals.crossJoin(F.broadcast(lower_median(hist, "amount")))
         .crossJoin(F.broadcast(spread))
@@ -48,7 +50,7 @@ def purchase_amount_profile(tables: GameTables) -> DataFrame:
             "max_amount",
             "avg_amount",
             F.col("median").alias("mid_amount"),
-            F.round(deviation.cast("decimal(34,12)"), 2).alias("stddev_amount"),
+            F.round(deviation.cast("decimal(38,12)"), 2).alias("stddev_amount"),
         )
     )
 
@@ -64,18 +66,18 @@ def zero_amount_share(tables: GameTables) -> DataFrame:
     )
 
 
-def activity_by_payer(tables: GameTables) -> DataFrame:
-    """Purchases and spend per buyer, payers against the rest.
+def activity_by_payer(tables: GameTables, group: str = "payer") -> DataFrame:
+    """Purchases and spend per buyer, payers against the rest, or by another column of ``users``.
 
     Every purchase counts: those of unknown players form the NULL group.
     """
     spent = per_player(
-        tables.events, trans=F.count("transaction_id"), amount=F.sum("amount")
+        tables.events, trans=F.count("transaction_id"), amount=F.sum(tables.money())
     )
     copies = F.coalesce("copies", F.lit(1))
     groups = (
-        spent.join(users_by(tables, "payer"), "id", "left")
-        .groupBy("payer")
+        spent.join(users_by(tables, group), "id", "left")
+        .groupBy(group)
         .agg(
             F.count("id").alias("count_users"),
             F.sum(F.col("trans") * copies).alias("count_trans"),
@@ -83,24 +85,30 @@ def activity_by_payer(tables: GameTables) -> DataFrame:
         )
     )
     return groups.select(
-        "payer",
+        group,
         "count_users",
         "count_trans",
         ratio(F.col("count_trans"), F.col("count_users"), 2).alias("avg_trans"),
-        ratio(F.col("_amount"), F.col("count_users"), 2).alias("avg_amount"),
+        ratio(F.col("_amount"), F.col("count_users"), 2, tables.amount_scale).alias("avg_amount"),
     )
 
 
-def item_popularity(tables: GameTables) -> DataFrame:
-    """Each listed item's share of purchases and of buyers, ranked by purchases.
+def item_shares(tables: GameTables) -> DataFrame:
+    """Each listed item's share of purchases and of buyers, without a rank.
 
-    Items never sold stay with zero; purchases of unlisted items only count in the totals.
+    The marks of purchases with an item serve the items and the totals; purchases without one are
+    marked apart, through a scan for NULL.
     """
-    purchases = F.count("transaction_id")
-    per_item = count_distinct(
-        tables.events, ["item_code"], "id", "buyers", purchases=purchases
+    purchases, known = F.count("transaction_id"), F.col("item_code").isNotNull()
+    marks = mark(tables.events.where(known), ["item_code"], "id", purchases=purchases)
+    loose = mark(tables.events.where(~known), [], "id", purchases=purchases)
+    per_item = marks.groupBy("item_code").agg(
+        marked().alias("buyers"), F.sum("purchases").alias("purchases")
+    )
+    together = marks.drop("item_code").unionByName(loose)
+    totals = merge(together, [], purchases=F.sum("purchases")).agg(
+        marked().alias("_buyers"), F.coalesce(F.sum("purchases"), F.lit(0)).alias("_purchases")
     )
-    totals = count_distinct(tables.events, [], "id", "_buyers", _purchases=purchases)
     listed = tables.items.groupBy("item_code", "game_items").agg(
         F.count(F.lit(1)).alias("copies")
     )
@@ -110,18 +118,25 @@ def item_popularity(tables: GameTables) -> DataFrame:
         F.coalesce(F.col("purchases") * F.col("copies"), F.lit(0)).alias("count_purchases"),
         F.coalesce("buyers", F.lit(0)).alias("_item_buyers"),
     )
-    shares = sold.crossJoin(F.broadcast(totals.fillna(0))).select(
+    return sold.crossJoin(F.broadcast(totals)).select(
         "item_code",
         "game_items",
         "count_purchases",
         ratio(F.col("count_purchases"), F.col("_purchases"), 3).alias("relative_purchases"),
         ratio(F.col("_item_buyers"), F.col("_buyers"), 2).alias("relative_count_users"),
     )
+
+
+def item_popularity(tables: GameTables) -> DataFrame:
+    """Listed items by purchases, most purchased first.
+
+    Items never sold stay with zero; purchases of unlisted items only count in the totals. Calling
+    this runs a job that stores the sorted items.
+    """
     order = [
         F.desc("count_purchases"),
         F.asc_nulls_last("item_code"),
         F.asc_nulls_last("game_items"),
     ]
-    return with_position(shares, order).withColumnRenamed("position", "row_number").orderBy(
-        F.desc("count_purchases"), "row_number"
-    )
+    placed = with_position(item_shares(tables), order)
+    return placed.withColumnRenamed("position", "row_number").orderBy("row_number")

@@ -24,6 +24,10 @@ def from_catalog(
     return GameTables(**found, unique_transactions=unique_transactions)
 
 
+# How the supplied events are spread over time, so that players differ in how often they buy.
+START, SLOWEST = "2024-01-01", 7
+
+
 def _read(spark: SparkSession, folder: str, name: str, columns: str) -> DataFrame:
     return spark.read.schema(columns).parquet(f"{folder}/{name}.parquet")
 
@@ -33,7 +37,8 @@ def from_supplied(spark: SparkSession, folder: str) -> GameTables:
 
     Customers are players, nations are races (the ones in region 4 unnamed), parts are
     items. HOUSEHOLD customers hide their race. Each event is a purchase: a sign-up is made by
-    a guest who is no player, an error costs nothing, and a view has no amount.
+    a guest who is no player, an error costs nothing, and a view has no amount. Some users are
+    slower than others: their days since ``START`` count up to ``SLOWEST`` hundredfold.
     """
     customer = _read(
         spark, folder, "customer", "c_custkey long, c_nationkey int, c_mktsegment string"
@@ -57,12 +62,12 @@ def from_supplied(spark: SparkSession, folder: str) -> GameTables:
         "props string",
     )
     kind, user = F.col("event_type"), F.col("user_id")
+    days = F.datediff(F.to_date("ts"), F.lit(START)) * (user % SLOWEST).cast("int") * 100
     events = event.select(
         F.col("event_id").alias("transaction_id"),
         F.when(kind == "signup", -1 - user).otherwise(user).alias("id"),
-        F.col("ts").alias("date"),
-        F.when(kind == "error", 0.0).when(kind != "view", F.col("value"))
-        .cast("decimal(18,2)").alias("amount"),
+        (F.col("ts") + F.make_dt_interval(days)).alias("date"),
+        F.when(kind == "error", 0.0).when(kind != "view", F.col("value")).alias("amount"),
         F.get_json_object("props", "$.k").cast("long").alias("item_code"),
     )
     return GameTables(users=users, race=race, items=items, events=events)

@@ -1,0 +1,93 @@
+"""Amounts are judged as stored and summed exactly."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from playmetrics.plans import frequency, funnel, purchases
+from playmetrics.schema import GameTables
+from playmetrics.sources.tables import from_parquet
+from tests.fixture_data import PURCHASES, tables
+from tests.test_plans import plan
+
+SMALL = [0.004, 0.006, 1.005, 2.0]
+
+
+def priced(spark, amounts, kind="double", **settings):
+    game = tables(spark)
+    rows = [(i, 1, None, float(a), 10) for i, a in enumerate(amounts)]
+    events = spark.createDataFrame(
+        rows, "transaction_id long, id long, date timestamp_ntz, amount double, item_code long"
+    ).withColumn("amount", F.col("amount").cast(kind))
+    return GameTables(game.users, game.race, game.items, events, **settings)
+
+
+def test_small_amounts_stay_positive(spark):
+    game = priced(spark, SMALL, amount_scale=3)
+    found = purchases.purchase_amount_profile(game).first()
+    assert found["count_transaction"] == 4
+    assert (found["sum_amount"], found["min_amount"], found["max_amount"]) == (
+        Decimal("3.015"), Decimal("0.004"), Decimal("2.000")
+    )
+    assert found["mid_amount"] == Decimal("0.006")
+    assert found["avg_amount"] == Decimal("0.75")
+    zero = purchases.zero_amount_share(game).first()
+    assert (zero["count"], zero["null_amount"]) == (4, 0)
+    assert funnel.race_activity(game).first()["avg_amount_u"] == Decimal("3.02")
+
+
+def test_counts_need_no_scale(spark):
+    game = priced(spark, SMALL)
+    assert frequency.purchase_gaps(game).count() == 4
+    assert purchases.zero_amount_share(game).first()["null_amount"] == 0
+
+
+def test_an_amount_that_does_not_fit_is_refused(spark):
+    with pytest.raises(Exception, match="does not fit into 2 decimal places"):
+        purchases.purchase_amount_profile(priced(spark, SMALL)).collect()
+    with pytest.raises(Exception, match="does not fit into 2 decimal places"):
+        purchases.activity_by_payer(priced(spark, [0.001])).collect()
+
+
+@pytest.mark.parametrize("kind, scale", [("decimal(20,5)", 5), ("int", 0), ("float", 2)])
+def test_stored_types_keep_their_scale(spark, kind, scale):
+    game = priced(spark, [0, 1, 3], kind)
+    assert game.amount_scale == scale
+    found = purchases.purchase_amount_profile(game).first()
+    assert (found["count_transaction"], found["sum_amount"]) == (2, Decimal(4))
+
+
+def test_text_is_no_amount(spark):
+    with pytest.raises(ValueError, match="amount is string"):
+        priced(spark, [1], "string")
+
+
+def test_filter_on_doubles_reaches_the_scan(spark, tmp_path):
+    game = tables(spark)
+    for name in ("users", "race", "items"):
+        getattr(game, name).write.parquet(f"{tmp_path}/{name}")
+    game.events.withColumn("amount", F.col("amount").cast("double")).write.parquet(f"{tmp_path}/events")
+    stored = from_parquet(spark, str(tmp_path), unique_transactions=True)
+    assert "GreaterThan(amount,0.0)" in plan(frequency.player_gap_summary(stored))
+    own, exact = purchases.activity_by_payer(stored), purchases.activity_by_payer(game)
+    assert set(own.collect()) == set(exact.collect())
+
+
+def test_deviation_of_the_largest_amounts(spark):
+    largest = Decimal("9999999999999999.99")
+    events = [(i, 1, None, largest if i % 2 else Decimal("0.01"), 10) for i in range(2000)]
+    found = purchases.purchase_amount_profile(tables(spark, events=events)).first()
+    assert float(found["stddev_amount"]) == pytest.approx(5_001_250_468_925_000, rel=1e-4)
+    assert found["sum_amount"] == 1000 * (largest + Decimal("0.01"))
+
+
+def test_sides_of_a_key_must_agree(spark):
+    game, text = tables(spark), tables(spark, text=True)
+    with pytest.raises(ValueError, match="id is bigint in users but string in events"):
+        GameTables(game.users, game.race, game.items, text.events)
+    narrow = game.users.withColumn("id", F.col("id").cast("int"))
+    mixed = GameTables(narrow, game.race, game.items, game.events)
+    assert mixed.users.schema["id"].dataType == mixed.events.schema["id"].dataType
+    assert purchases.activity_by_payer(mixed).count() == 3
+    assert len(PURCHASES) == mixed.events.count()

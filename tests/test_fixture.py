@@ -94,9 +94,8 @@ def test_player_purchase_counts(game):
     }
 
 
-@pytest.mark.parametrize("hot_rows, chunk_rows", [(100, 100), (2, 2), (0, 1), (2, 1000)])
-def test_purchase_gaps(game, hot_rows, chunk_rows):
-    found = {r[0]: r for r in rows(frequency.purchase_gaps(game, hot_rows, chunk_rows))}
+def test_purchase_gaps(game):
+    found = {r[0]: r for r in rows(frequency.purchase_gaps(game))}
     assert len(found) == 11
     assert found[1] == (1, 1, date(2024, 1, 1), None, None)
     assert found[3] == (3, 1, date(2024, 1, 3), datetime(2024, 1, 3, 9), 0)
@@ -177,5 +176,20 @@ def test_declared_key_is_not_checked(spark):
 
 def test_missing_column_is_named(spark):
     with pytest.raises(ValueError, match="payer"):
-        from playmetrics.schema import USERS, conform
-        conform(spark.createDataFrame([(1, 2)], "id long, race_id int"), USERS)
+        from playmetrics.schema import COLUMNS, conform
+        conform(spark.createDataFrame([(1, 2)], "id long, race_id int"), COLUMNS["users"])
+
+
+def test_whole_order_of_sorted_results(spark):
+    """NULL shares first, ties by name or id, and tiles by number."""
+    users = [(1, 1, 1), (2, 0, 2), (3, None, 3), (4, None, 3), (5, 1, 4), (6, None, None)]
+    race = [(1, "Elf"), (2, "Orc"), (3, "Cat"), (4, "Bat")]
+    game = tables(spark, users=users, race=race)
+    assert [r[0] for r in rows(payers.payer_share_by_race(game))] == [None, "Cat", "Bat", "Elf", "Orc"]
+    found = rows(purchases.item_popularity(tables(spark, items=[(11, "b"), (10, "a"), (8, "z"), (7, "y")])))
+    assert [(r[0], r[5]) for r in found] == [(10, 1), (11, 2), (7, 3), (8, 4)]
+    by_race = rows(funnel.race_funnel(tables(spark)))
+    assert [r[:2] for r in by_race] == [(None, None), (2, "Orc"), (3, "Human"), (9, None), (1, "Elf")]
+    alike = [(p * 10 + k, p, datetime(2024, 1, 1 + k), Decimal(1), 10) for p in range(1, 7) for k in range(3)]
+    segments = rows(frequency.frequency_segments(tables(spark, events=alike), min_transactions=3))
+    assert [r[0] for r in segments] == list(frequency.LABELS)

@@ -1,13 +1,13 @@
 """The distributed order operators against Spark's own single-task windows."""
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playmetrics.operators import lag
-from playmetrics.operators.lag import lag_by_key
+from playmetrics.operators.lag import lag_time
 from playmetrics.operators.ordering import histogram, lower_median, tile, with_position
 
 @pytest.fixture
@@ -64,15 +64,17 @@ def test_median(spark, many_partitions, kind, n):
     assert (None if ours is None else float(ours)) == theirs
 
 
-@pytest.mark.parametrize("hot_rows, broadcast_keys", [(10**9, 10), (30, 10), (0, 10), (30, 0)])
-def test_lag(spark, many_partitions, monkeypatch, hot_rows, broadcast_keys):
-    monkeypatch.setattr(lag, "BROADCAST_KEYS", broadcast_keys)
+@pytest.mark.parametrize("key_type", ["bigint", "string"])
+def test_lag(spark, many_partitions, key_type):
     rng = random.Random(5)
+    start = datetime(2024, 2, 27)
     rows = [
-        (rng.choice([1, 1, 1, 2, 3, None]), _none(rng, rng.randint(0, 90)), i) for i in range(400)
-    ] + [(1, 5, 1000)] * 90
-    df = spark.createDataFrame(rows, "k bigint, v bigint, i bigint").repartition(6)
-    ours = lag_by_key(df, "k", ["v", "i"], "v", "before", hot_rows, chunk_rows=13)
+        (rng.choice([1, 1, 1, 2, 3, None]),
+         _none(rng, start + timedelta(hours=rng.randint(0, 200))), _none(rng, i)) for i in range(400)
+    ] + [(1, start, 1000)] * 90 + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "k bigint, v timestamp_ntz, i bigint").repartition(6)
+    df = df.withColumn("k", F.col("k").cast(key_type))
+    ours = lag_time(df, "k", "v", "i", "before")
     window = Window.partitionBy("k").orderBy(F.asc_nulls_last("v"), F.asc_nulls_last("i"))
     theirs = df.withColumn("before", F.lag("v").over(window))
     key = lambda r: tuple((x is None, x) for x in r)

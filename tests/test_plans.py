@@ -5,6 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as driver
+from playmetrics import storage
+from playmetrics.operators import ordering
 from playmetrics.plans import frequency, funnel, payers, purchases
 from playmetrics.sources.tables import from_catalog, from_parquet, from_supplied
 from tests.compare import _rows
@@ -60,15 +62,101 @@ def test_purchases_are_read_once(stored, threshold, analysis, times):
     assert scans(plan(analysis(stored)), "events") == times
 
 
+def ran(df):
+    """The plan that ran, with the exchanges that were used again."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final(text):
+    return text.split("== Initial Plan ==")[0]
+
+
+def test_items_and_totals_share_one_read(stored, threshold):
+    """One scan of the purchases of items, and one that is filtered to those of none."""
+    reads = lambda text: [
+        re.search(r"(Is\w+)\(item_code\)", line).group(1)
+        for line in text.splitlines() if "FileScan" in line and "/events]" in line
+    ]
+    shares = purchases.item_shares(stored)
+    assert reads(plan(shares)).count("IsNull") == 1
+    text = final(ran(shares))
+    assert reads(text).count("IsNotNull") == 1 and "ReusedExchange" in text
+
+
+def test_items_are_sorted_once_after_storing(stored, threshold):
+    text = plan(purchases.item_popularity(stored))
+    assert scans(text, "events") == 0
+    assert len(re.findall(r"Sort \[(?!_part)", text)) == 1 and "Sort [row_number" in text
+
+
+def test_gaps_move_each_purchase_once(stored, threshold):
+    text = plan(frequency.purchase_gaps(stored))
+    assert scans(text, "events") <= 2
+    moved = [
+        below for below in _feeds(text, "Exchange hashpartitioning")
+        if "Aggregate" not in below[0] and "transaction_id" in "".join(below)
+    ]
+    assert len(moved) == 1
+
+
+@pytest.mark.parametrize("analysis", [
+    frequency.player_gap_summary, frequency.gap_tiles, frequency.gap_segments,
+    frequency.segment_paying_players, frequency.frequency_segments,
+])
+def test_repeated_ids_are_read_once(spark, tmp_path, monkeypatch, analysis):
+    game = tables(spark)
+    for name in ("users", "race", "items", "events"):
+        getattr(game, name).write.parquet(f"{tmp_path}/{name}")
+    repeated = from_parquet(spark, str(tmp_path), unique_transactions=False)
+    texts = []
+
+    def recorded(df, store=storage.store):
+        texts.append(plan(df))
+        return store(df)
+
+    monkeypatch.setattr(frequency, "store", recorded)
+    monkeypatch.setattr(ordering, "store", recorded)
+    found = analysis(repeated, 2) if analysis is not frequency.player_gap_summary else analysis(repeated)
+    assert sum(scans(text, "events") for text in [*texts, plan(found)]) == 1
+    other = analysis(game, 2) if analysis is not frequency.player_gap_summary else analysis(game)
+    assert _rows(found.columns, found.collect()) == _rows(other.columns, other.collect())
+
+
+@pytest.mark.parametrize("analysis", [
+    purchases.activity_by_payer, funnel.race_funnel, frequency.player_gap_summary,
+])
+def test_users_are_moved_once(spark, stored, analysis):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(analysis(stored))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [below for below in _feeds(text, "Exchange hashpartitioning") if any("/users]" in l for l in below)
+             and not any("Exchange" in l for l in below)]
+    assert len(moved) == 1
+
+
+def test_no_user_row_is_moved_by_race(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(payers.payer_share_by_race(stored))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for below in _feeds(text, "Exchange hashpartitioning"):
+        if any("/users]" in line for line in below):
+            assert "Aggregate" in below[0] or any("HashAggregate" in line for line in below)
+
+
 def test_mean_gaps_need_no_window(stored):
     assert "Window" not in plan(frequency.player_gap_summary(stored))
 
 
-def _feeds_single_partition(text):
-    """For each exchange into one partition, the part of the plan below it."""
+def _feeds(text, exchange):
+    """For each exchange of a kind, the part of the plan below it."""
     lines = text.splitlines()
     for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
+        if exchange in line:
             depth = len(line) - len(line.lstrip(" :+-"))
             below = []
             for later in lines[i + 1:]:
@@ -81,7 +169,7 @@ def _feeds_single_partition(text):
 @pytest.mark.parametrize("name", list(driver.ANALYSES))
 def test_single_partitions_only_take_aggregates(stored, threshold, name):
     """One row per task or per sort partition may meet in one task, plain rows never."""
-    for below in _feeds_single_partition(plan(driver.ANALYSES[name](stored))):
+    for below in _feeds(plan(driver.ANALYSES[name](stored)), "Exchange SinglePartition"):
         assert "HashAggregate" in below[0], below[0]
 
 

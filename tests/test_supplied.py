@@ -2,8 +2,11 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from playmetrics.plans import frequency
+from playmetrics.sources.tables import from_supplied
 from tests.compare import assert_same
 
 ROOT = "/root/testdata"
@@ -32,3 +35,15 @@ def test_query_matches_sql(spark, supplied, name):
 
 def test_entry_is_the_funnel(spark):
     assert driver.entry(spark).count() == 26
+
+
+def test_the_supplied_tables_tell_means_apart(spark):
+    """Were each player's mean counted once instead of once per purchase, the results would differ."""
+    game = from_supplied(spark, f"{ROOT}/sf0.01")
+    weighted = {r["users_group"]: r["avg_gap"] for r in frequency.frequency_segments(game).collect()}
+    plain = {
+        r["users_group"]: r["m"] for r in frequency.gap_segments(game).groupBy("users_group")
+        .agg(F.round(F.avg("avg_gap"), 0).cast("decimal(20,0)").alias("m")).collect()
+    }
+    assert len(set(weighted.values())) == 3
+    assert all(weighted[g] != plain[g] for g in weighted)
