@@ -330,9 +330,10 @@ def near_duplicates(
         grouped.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     )
     linked = grouped.join(least, "root").select("fp", "component_id")
-    per_fp = distinct.join(linked, "fp", "left").select(
+    # stored, so that the last join has plain shuffles on both sides and hot fingerprints are split
+    per_fp = store(distinct.join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id")
-    )
+    ))
     return found.join(per_fp, "fp").select("doc_id", "fp", "component_id")
 
 
