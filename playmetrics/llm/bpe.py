@@ -5,9 +5,8 @@ are numbered, so that a document becomes a sequence of word numbers, its pre-tok
 Two things are shuffled: the blocks' distinct words, by a hash of the word, so that each word is
 encoded in one place once; and the sequences, by block, where the word's ids come back and documents
 are put together by position. A row holds many words or numbers, packed, since rows of single
-words would take more room than the text. Texts are never shuffled, and the vocabulary is never
-gathered: there are ``BUCKETS_PER_PARTITION`` times as many hash buckets of words as shuffle
-partitions. Decoding joins ids with
+words would take more room than the text. Texts are never shuffled, and the words are never
+gathered: they are dealt to ``BUCKETS`` places, each of which remembers the last ``KNOWN_WORDS``. Decoding joins ids with
 the token-byte table, which has one row per token of the fixed vocabulary.
 
 Blocks are formed twice, for words and for sequences, and carry a digest of their words in order.
@@ -37,11 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bytes of text that are cut at once, and bytes in a block.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 18
 BLOCK_BYTES = 1 << 23
-BUCKETS_PER_PARTITION = 4
+# Places that words are dealt to, and encoded words that one of them remembers; beyond that, a word
+# may be encoded again.
+BUCKETS = 1024
+KNOWN_WORDS = 1 << 20
 # Bytes of ids in one batch of results.
-_OUT_BYTES = 1 << 22
+_OUT_BYTES = 1 << 20
 # Words up to this length are merged by plain search, longer ones with a heap.
 _SHORT = 32
 
@@ -227,34 +229,32 @@ def _content(strings: pa.Array) -> memoryview:
 _WORDS = "bucket int, block long, count int, numbers binary, lengths binary, size long, words binary"
 
 
-def _words(buckets: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per block and bucket: the numbers of the words there, as steps, and the words."""
-        for block in _blocks(batches):
-            key, words, _ = block.close()
-            at = np.fromiter((zlib.crc32(w) for w in words.to_pylist()), np.int64, len(words))
-            at %= buckets
-            order = np.argsort(at, kind="stable")
-            rows = {name: [] for name in ("bucket", "block", "count", "numbers", "lengths", "size",
-                                          "words")}
-            for own in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
-                if not len(own):
-                    continue
-                mine = words.take(pa.array(own))
-                content = _content(mine)
-                rows["bucket"].append(at[own[0]])
-                rows["block"].append(key)
-                rows["count"].append(len(own))
-                rows["numbers"].append(_packed(np.diff(own, prepend=0)))
-                rows["lengths"].append(_packed(pc.binary_length(mine).to_numpy()))
-                rows["size"].append(len(content))
-                rows["words"].append(pa.compress(content, codec="zstd", asbytes=True))
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-                ("bucket", pa.int32()), ("block", pa.int64()), ("count", pa.int32()),
-                ("numbers", pa.binary()), ("lengths", pa.binary()), ("size", pa.int64()),
-                ("words", pa.binary()),
-            ]))
-    return run
+def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per block and bucket: the numbers of the words there, as steps, and the words."""
+    for block in _blocks(batches):
+        key, words, _ = block.close()
+        at = np.fromiter((zlib.crc32(w) for w in words.to_pylist()), np.int64, len(words))
+        at %= BUCKETS
+        order = np.argsort(at, kind="stable")
+        rows = {name: [] for name in ("bucket", "block", "count", "numbers", "lengths", "size",
+                                      "words")}
+        for own in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+            if not len(own):
+                continue
+            mine = words.take(pa.array(own))
+            content = _content(mine)
+            rows["bucket"].append(at[own[0]])
+            rows["block"].append(key)
+            rows["count"].append(len(own))
+            rows["numbers"].append(_packed(np.diff(own, prepend=0)))
+            rows["lengths"].append(_packed(pc.binary_length(mine).to_numpy()))
+            rows["size"].append(len(content))
+            rows["words"].append(pa.compress(content, codec="zstd", asbytes=True))
+        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
+            ("bucket", pa.int32()), ("block", pa.int64()), ("count", pa.int32()),
+            ("numbers", pa.binary()), ("lengths", pa.binary()), ("size", pa.int64()),
+            ("words", pa.binary()),
+        ]))
 
 
 def _sequences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,6 +340,8 @@ def _encoder(ranks_of):
         def encoded(word: bytes) -> bytes:
             ids = known.get(word)
             if ids is None:
+                if len(known) >= KNOWN_WORDS:
+                    known.clear()
                 ids = known[word] = np.array(encode_word(word, ranks), "<u4").tobytes()
             return ids
 
@@ -442,8 +444,7 @@ def encode(
     context = docs.sparkSession.sparkContext
     ranks_of = context.broadcast(dict(ranks))
     tokens_of = context.broadcast(_token_table(ranks)) if with_decoded else None
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = narrow.mapInArrow(_words(BUCKETS_PER_PARTITION * partitions), _WORDS)
+    words = narrow.mapInArrow(_words, _WORDS)
     dictionaries = words.repartition("bucket").mapInArrow(_encoder(ranks_of), _WORD_IDS)
     sequences = narrow.mapInArrow(_sequences, T.StructType([
         T.StructField("block", T.LongType()),

@@ -320,7 +320,7 @@ def robust_estimates(vectors: DataFrame, steps: int = STEPS) -> DataFrame:
     for _ in range(steps):
         found = _concentrate(vectors, found)
     best = F.row_number().over(Window.partitionBy(*_GROUP).orderBy(F.round("log_det", 9), "start"))
-    raw = found.withColumn("place", best).where(F.col("place") == 1).drop("place", "start")
+    raw = store(found.withColumn("place", best).where(F.col("place") == 1).drop("place", "start"))
     near = vectors.join(raw, _GROUP).where(_distance() <= REWEIGHTED_WITHIN)
     reweighted = _estimates(near.groupBy(*_GROUP).agg(*_moments()), _GROUP, REWEIGHTED_FACTOR)
     return store(reweighted)
