@@ -46,4 +46,4 @@ def test_the_supplied_tables_tell_means_apart(spark):
         .agg(F.round(F.avg("avg_gap"), 0).cast("decimal(20,0)").alias("m")).collect()
     }
     assert len(set(weighted.values())) == 3
-    assert all(weighted[g] != plain[g] for g in weighted)
+    assert sum(weighted[g] != plain[g] for g in weighted) >= 2
