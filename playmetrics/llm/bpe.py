@@ -25,7 +25,7 @@ import hashlib
 import heapq
 import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import cache
 
 import numpy as np
@@ -40,7 +40,7 @@ STEP_BYTES = 1 << 18
 BLOCK_BYTES = 1 << 23
 # Places that words are dealt to, and encoded words that one of them remembers; beyond that, a word
 # may be encoded again.
-BUCKETS = 1024
+BUCKETS = 512
 KNOWN_WORDS = 1 << 20
 # Bytes of ids in one batch of results.
 _OUT_BYTES = 1 << 20
@@ -434,10 +434,14 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_decoded: bool = False,
+    finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+    fields: Sequence[T.StructField] = (),
 ) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row; ids are little-endian unsigned 32-bit numbers.
 
-    ``with_decoded`` adds what ``decode`` would, in the tasks that have the ids at hand.
+    ``with_decoded`` adds what ``decode`` would, in the tasks that have the ids at hand. ``finish`` may
+    turn batches of these columns into others, ``doc_id`` and ``fields``, before they leave the task:
+    ids and bytes are larger than the text, and whoever only needs a part saves moving them.
     """
     narrow = _narrow(docs, id_col, text_col)
     kind = narrow.schema["doc_id"].dataType
@@ -455,20 +459,21 @@ def encode(
     ]))
 
     def assemble(dictionary: pa.Table, sequences: pa.Table) -> pa.Table:
-        batches = list(_assemble(dictionary, sequences))
-        if tokens_of is not None:
-            tokens = pa.array(tokens_of.value, pa.large_binary())
-            batches = [_with_decoded(batch, tokens) for batch in batches]
+        tokens = pa.array(tokens_of.value, pa.large_binary()) if tokens_of is not None else None
+        done = []
+        for batch in _assemble(dictionary, sequences):
+            if tokens is not None:
+                batch = _with_decoded(batch, tokens)
+            done.append(batch if finish is None else finish(batch))
         pa.default_memory_pool().release_unused()
-        return pa.Table.from_batches(batches)
-
-    schema = T.StructType([
-        T.StructField("doc_id", kind),
-        T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids", T.BinaryType()),
-    ])
-    if with_decoded:
-        schema = schema.add("decoded", T.BinaryType())
+        return pa.Table.from_batches(done)
+
+    if finish is None:
+        fields = [
+            T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
+            *[T.StructField("decoded", T.BinaryType())] * with_decoded,
+        ]
+    schema = T.StructType([T.StructField("doc_id", kind), *fields])
     return dictionaries.groupBy("block").cogroup(sequences.groupBy("block")).applyInArrow(
         assemble, schema
     )

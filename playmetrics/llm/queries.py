@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-import public_tokenizers
+from pyspark.sql import types as T
 
 from playmetrics.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, mixing, quality, simhash, toxicity, url_filter
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
@@ -96,16 +98,24 @@ def op10_byte_level_bpe(
     return token_digests(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def _digest_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def sha256(name: str) -> pa.Array:
+        return pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(name)])
+
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), batch.column("n_tokens"), sha256("ids"), sha256("decoded")],
+        names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
+
+
 def token_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Encode and decode ``docs``; digests of the ids and of the decoded bytes."""
     ranks = bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
-    coded = bpe.encode(docs, ranks, with_decoded=True)
-    return coded.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.encode(docs, ranks, with_decoded=True, finish=_digest_batch, fields=[
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ])
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
