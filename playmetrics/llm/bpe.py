@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playmetrics.llm.frames import give_back_memory
+
 # Bytes of text that are cut at once, and bytes in a block.
 STEP_BYTES = 1 << 18
 BLOCK_BYTES = 1 << 23
@@ -189,9 +191,10 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
             if block.size >= BLOCK_BYTES:
                 yield block
                 block = Block()
-                pa.default_memory_pool().release_unused()
+                give_back_memory()
     if block.ids:
         yield block
+    give_back_memory()
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -226,6 +229,25 @@ def _content(strings: pa.Array) -> memoryview:
     return memoryview(strings.buffers()[2])[edges[0]:edges[len(strings)]]
 
 
+def _places(strings: pa.Array) -> np.ndarray:
+    """Where byte strings start in their buffer, and where the last one ends."""
+    if not len(strings):
+        return np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_binary(strings.type) else np.int32
+    places = np.frombuffer(strings.buffers()[1], kind)
+    return places[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+
+
+def _cut(strings: pa.Array, places: np.ndarray) -> pa.Array:
+    """The buffer of ``strings`` cut at other places."""
+    data = strings.buffers()[2] if len(strings) else None
+    data = pa.py_buffer(b"") if data is None else data.slice(places[0], places[-1] - places[0])
+    edges = (places - places[0]).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), data]
+    )
+
+
 _WORDS = "bucket int, block long, count int, numbers binary, lengths binary, size long, words binary"
 
 
@@ -342,6 +364,7 @@ def _encoder(ranks_of):
             if ids is None:
                 if len(known) >= KNOWN_WORDS:
                     known.clear()
+                    give_back_memory()
                 ids = known[word] = np.array(encode_word(word, ranks), "<u4").tobytes()
             return ids
 
@@ -391,15 +414,14 @@ def _assemble(dictionary: pa.Table, sequences: pa.Table) -> Iterator[pa.RecordBa
             raise RuntimeError("a block has no such word: its rows came in another order")
         edges = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
         coded = word_ids.take(pa.array(numbers))
-        bytes_before = np.concatenate(([0], np.cumsum(pc.binary_length(coded).to_numpy())))[edges]
-        content = _content(coded)
-        cuts = np.flatnonzero(np.diff(bytes_before[:-1] // _OUT_BYTES)) + 1
+        place = _places(coded)[edges]
+        cuts = np.flatnonzero(np.diff((place[:-1] - place[0]) // _OUT_BYTES)) + 1
         for own in np.split(np.arange(len(doc_ids)), cuts):
-            found = [content[bytes_before[i]:bytes_before[i + 1]] for i in own]
+            ids = _cut(coded, place[own[0]:own[-1] + 2])
             yield pa.RecordBatch.from_arrays([
                 doc_ids.slice(own[0], len(own)),
-                pa.array([len(x) // 4 for x in found], pa.int64()),
-                pa.array(found, pa.binary()),
+                pa.array(np.diff(place[own[0]:own[-1] + 2]) // 4, pa.int64()),
+                ids,
             ], names=["doc_id", "n_tokens", "ids"])
 
 
@@ -413,12 +435,13 @@ def _token_table(ranks: Mapping[bytes, int]) -> list[bytes]:
 
 def _with_decoded(batch: pa.RecordBatch, tokens: pa.Array) -> pa.RecordBatch:
     """Join the ids of each row with the token-byte table."""
-    texts = [
-        _content(tokens.take(pa.array(np.frombuffer(ids.as_buffer(), "<u4"))))
-        for ids in batch.column("ids")
-    ]
+    ids = batch.column("ids")
+    place = _places(ids)
+    raw = b"".join(ids.drop_null().to_pylist())
+    found = tokens.take(pa.array(np.frombuffer(raw, "<u4")))
+    texts = _cut(found, _places(found)[(place - place[0]) // 4])
     return pa.RecordBatch.from_arrays(
-        [*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"]
+        [*batch.columns, texts], names=[*batch.schema.names, "decoded"]
     )
 
 
@@ -465,7 +488,7 @@ def encode(
             if tokens is not None:
                 batch = _with_decoded(batch, tokens)
             done.append(batch if finish is None else finish(batch))
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
         return pa.Table.from_batches(done)
 
     if finish is None:

@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playmetrics.llm import bpe, chat_format, exact_dedup, language_id, line_dedup, mixing, quality, simhash, toxicity, url_filter
+from playmetrics.llm import (
+    bpe, chat_format, exact_dedup, language_id, line_dedup, mixing, quality, simhash, toxicity,
+    url_filter,
+)
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,7 +103,7 @@ def op10_byte_level_bpe(
 
 def _digest_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     def sha256(name: str) -> pa.Array:
-        return pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(name)])
+        return pa.array([hashlib.sha256(x).hexdigest() for x in batch.column(name).to_pylist()])
 
     return pa.RecordBatch.from_arrays(
         [batch.column("doc_id"), batch.column("n_tokens"), sha256("ids"), sha256("decoded")],
