@@ -23,6 +23,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
+LINE_EDITS = 2
+
 URL_RULES = (
     Rule(ALLOW, "com", "/"),
     Rule(BLOCK, "example.com", "/en/"),
@@ -126,7 +128,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    found = line_dedup.line_dedup(_table(spark, sf_dir, "documents"), edits=LINE_EDITS)
     numbers = F.transform("dropped", lambda n: n.cast("string"))
     return found.select(
         "doc_id", "n_lines", "n_exact", "n_near", F.array_join(numbers, ",").alias("dropped")
