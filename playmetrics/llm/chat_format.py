@@ -1,7 +1,8 @@
 """Chat formatting: a state machine over roles and a declarative template. DataFrame functions only.
 
-A template lists the parts of a turn. Each part becomes a segment of text with a flag that says
-whether it is under the loss. Control strings inside roles and texts are escaped reversibly, so
+A conversation's turns are folded through the machine: each transition gives the next state and
+whether the turn's text is under the loss, and the turn becomes segments of text with that flag.
+A turn out of order has a transition too: to the invalid state, with the flag of its role. Control strings inside roles and texts are escaped reversibly, so
 the turns can be read back from the formatted string alone.
 
 Nulls and edge cases: a null role or text counts as empty. Turns are ordered by number, then role,
@@ -63,28 +64,61 @@ def _unescape(text: Column, pairs: tuple) -> Column:
     return text
 
 
-def _next_state(template: Template, state: Column, role: Column) -> Column:
-    step = {f"{s}\n{r}": t for s, roles in template.turns.items() for r, t in roles.items()}
-    table = F.create_map(*[F.lit(x) for pair in step.items() for x in pair])
-    reached = F.try_element_at(table, F.concat(state, F.lit("\n"), role))
-    return F.coalesce(reached, F.lit(INVALID))
+def _transition(template: Template, state: Column, role: Column) -> Column:
+    """The struct (state, loss) that a turn of ``role`` leads to."""
+    def reached(state: str, loss: Column) -> Column:
+        return F.struct(F.lit(state).alias("state"), loss.alias("loss"))
 
+    table = F.create_map(*[
+        x for s, roles in template.turns.items() for r, t in roles.items()
+        for x in (F.lit(f"{s}\n{r}"), reached(t, F.lit(r in template.learned)))
+    ])
+    listed = F.try_element_at(table, F.concat(state, F.lit("\n"), role))
+    return F.coalesce(listed, reached(INVALID, role.isin(*template.learned)))
 
-def _segments(template: Template, turn: Column) -> Column:
+
+def _segments(template: Template, turn: Column, loss: Column) -> Column:
     def segment(text: Column, loss: Column) -> Column:
         return F.struct(text.alias("text"), loss.alias("loss"))
 
-    learned = turn["role"].isin(*template.learned)
     head = F.concat(
         F.lit(template.opening), _escape(turn["role"], _IN_ROLE), F.lit(template.between)
     )
     return F.array(
         segment(head, F.lit(False)),
-        segment(_escape(turn["text"], _IN_TEXT), learned),
+        segment(_escape(turn["text"], _IN_TEXT), loss),
         segment(F.lit(template.closing), F.lit(False)),
     )
 
 
+def _run_machine(template: Template, turns: Column) -> Column:
+    """The struct (state, done): the last state, and the segments of turns in blocks.
+
+    Appending to an array copies it, so blocks as long as their number keep long conversations cheap.
+    """
+    segments = "array<struct<text:string,loss:boolean>>"
+    width = F.ceil(F.sqrt(F.size(turns))).cast("int")
+    starts = F.sequence(F.lit(1), F.size(turns), width)
+
+    def step(held: Column, turn: Column) -> Column:
+        to = _transition(template, held["state"], turn["role"])
+        made = _segments(template, turn, to["loss"])
+        return F.struct(
+            to["state"].alias("state"), F.concat(held["done"], made.cast(segments)).alias("done")
+        )
+
+    def block(held: Column, start: Column) -> Column:
+        fresh = F.struct(held["state"].alias("state"), F.array().cast(segments).alias("done"))
+        return F.aggregate(F.slice(turns, start, width), fresh, step, lambda b: F.struct(
+            b["state"].alias("state"), F.concat(held["done"], F.array(b["done"])).alias("done")
+        ))
+
+    begin = F.struct(
+        F.lit(template.start).alias("state"), F.array().cast(f"array<{segments}>").alias("done")
+    )
+    return F.aggregate(starts, begin, block)
+
+
 def format_chats(
     rows: DataFrame,
     template: Template = CHATML,
@@ -108,15 +142,16 @@ def format_chats(
     talks = rows.groupBy(F.col(id_col).alias("conv_id")).agg(
         F.sort_array(F.collect_list(turn)).alias("turns")
     )
-    state = F.aggregate(
-        "turns", F.lit(template.start), lambda s, t: _next_state(template, s, t["role"])
-    )
-    segments = F.flatten(F.transform("turns", lambda t: _segments(template, t)))
-    return talks.select(
+    ran = talks.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
-        state.alias("state"),
-        segments.alias("segments"),
+        _run_machine(template, F.col("turns")).alias("ran"),
+    )
+    return ran.select(
+        "conv_id",
+        "n_turns",
+        F.col("ran.state").alias("state"),
+        F.flatten("ran.done").alias("segments"),
     ).select(
         "conv_id",
         "n_turns",
