@@ -33,6 +33,24 @@ URL_RULES = (
     Rule(BLOCK, "net", "/fr/"),
 )
 
+# Public suffixes of more than one label; all others are taken to be the last label.
+PUBLIC_SUFFIXES = tuple(
+    f"{second}.{country}"
+    for country, seconds in {
+        "ar": "com edu gob net org", "at": "ac co gv or", "au": "asn com edu gov id net org",
+        "br": "com edu gov net org", "cn": "ac com edu gov net org", "co": "com edu gov net org",
+        "hk": "com edu gov net org", "id": "ac co go net or", "il": "ac co gov net org",
+        "in": "ac co edu gov net org", "jp": "ac co go ne or", "ke": "ac co go or",
+        "kr": "ac co go ne or", "mx": "com edu gob net org", "my": "com edu gov net org",
+        "nz": "ac co govt net org", "pe": "com edu gob net org", "ph": "com edu gov net org",
+        "pl": "com edu gov net org", "sg": "com edu gov net org", "th": "ac co go in or",
+        "tr": "com edu gov net org", "tw": "com edu gov net org", "ua": "com edu gov net org",
+        "uk": "ac co gov ltd me net nhs org plc police sch", "ve": "co com edu gob net org",
+        "vn": "com edu gov net org", "za": "ac co gov net org",
+    }.items()
+    for second in seconds.split()
+) + ("blogspot.com", "github.io", "gitlab.io", "wordpress.com")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -142,7 +160,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("page_id"),
         ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"),
     )
-    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    return url_filter.filter_urls(
+        _table(spark, sf_dir, "pages"), outcomes, URL_RULES, suffixes=PUBLIC_SUFFIXES
+    )
 
 
 QUERIES: dict[str, Query] = {

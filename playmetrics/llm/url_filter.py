@@ -6,8 +6,11 @@ all pages: each level is a beta prior for the next, and its strength is fitted b
 much the units below differ. A host is blocked if its share of bad pages lies above ``threshold``
 even at the lower bound of the posterior. Hosts without outcomes inherit from the level above.
 
-The suffix is the last label of a host, the registered domain its last two. A host that is a
-single label is its own domain and suffix; an empty host is a unit like any other.
+The suffix of a host is the longest of the given public suffixes that it ends with, or else its last
+label; the registered domain has one label more. User, port and a dot at the end do not count for
+the given suffixes. A host that is a suffix or a single label is its own domain and suffix, and so is
+an IP address; an empty host is a unit like any other. Suffixes are plain names, without the
+wildcards and exceptions of the public list; they are sent with the plan.
 
 Nulls and edge cases: a null url, or one without ``://``, has an empty host and path. Null and
 repeated labels: nulls do not count, repeated ones count as often as they occur. Repeated pages
@@ -50,6 +53,9 @@ THRESHOLD = 0.5
 BOUND = 2.0
 # The least and the largest strength of a prior, in pages.
 STRENGTH = (2.0, 1000.0)
+# What surrounds a host's name, and IP addresses.
+_AROUND = r"^.*@|\.?(:\d*)?$"
+_ADDRESS = r"^(.*@)?(\d{1,3}(\.\d{1,3}){3}|\[.*\])\.?(:\d*)?$"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -71,10 +77,20 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Co
     return text, verdict
 
 
-def _levels(host: Column) -> dict[str, Column]:
+def _levels(host: Column, suffixes: Sequence[str] = ()) -> dict[str, Column]:
+    by_labels: dict[int, list[str]] = {}
+    for suffix in suffixes:
+        by_labels.setdefault(suffix.count(".") + 1, []).append(suffix)
+    name = F.regexp_replace(host, _AROUND, "")
+    suffix, domain = F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
+    for labels in sorted(by_labels):
+        fits = F.substring_index(name, ".", -labels).isin(by_labels[labels])
+        suffix = F.when(fits, F.substring_index(name, ".", -labels)).otherwise(suffix)
+        domain = F.when(fits, F.substring_index(name, ".", -labels - 1)).otherwise(domain)
+    address = host.rlike(_ADDRESS)
     return {
-        "suffix": F.substring_index(host, ".", -1),
-        "domain": F.substring_index(host, ".", -2),
+        "suffix": F.when(address, host).otherwise(suffix),
+        "domain": F.when(address, host).otherwise(domain),
         "host": host,
     }
 
@@ -107,25 +123,28 @@ def _shrunk(units: DataFrame, above: DataFrame, parent: str | None) -> DataFrame
 
 
 def reputation(
-    hosts: DataFrame, threshold: float = THRESHOLD, bound: float = BOUND
+    hosts: DataFrame,
+    threshold: float = THRESHOLD,
+    bound: float = BOUND,
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """Per host ``p``, its lower bound ``low`` and ``host_verdict``.
 
     ``hosts`` has ``host``, ``bad`` and ``n``, one row per host, also for hosts without outcomes.
     """
-    units = hosts.select(*[c.alias(k) for k, c in _levels(F.col("host")).items()], "bad", "n")
+    units = hosts.select(*[c.alias(k) for k, c in _levels(F.col("host"), suffixes).items()], "bad", "n")
     per_suffix = units.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     # one page of each kind on top, so that the mean is never exactly 0 or 1
     everything = per_suffix.agg(
         ((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0))
         .alias("m")
     )
-    suffixes = _shrunk(per_suffix, everything, None)
+    shrunk_suffixes = _shrunk(per_suffix, everything, None)
     per_domain = units.groupBy("suffix", "domain").agg(
         F.sum("bad").alias("bad"), F.sum("n").alias("n")
     )
     domains = _shrunk(
-        per_domain, suffixes.select("suffix", F.col("p").alias("m")), "suffix"
+        per_domain, shrunk_suffixes.select("suffix", F.col("p").alias("m")), "suffix"
     )
     found = _shrunk(
         units.select("domain", "host", "bad", "n"),
@@ -146,10 +165,12 @@ def filter_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     bad_col: str = "bad",
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict``.
 
     ``outcomes`` has the page id and ``bad_col``, true or false, of labelled pages.
+    ``suffixes`` are public suffixes of more than one label, such as ``co.uk``, in lower case.
     """
     host, path = host_and_path(F.col(url_col))
     parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -164,7 +185,7 @@ def filter_urls(
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
     )
-    verdicts = reputation(per_host).select("host", "host_verdict")
+    verdicts = reputation(per_host, suffixes=suffixes).select("host", "host_verdict")
     return ruled.join(verdicts, "host").select(
         "page_id",
         "host",

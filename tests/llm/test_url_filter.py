@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from playmetrics.llm import url_filter
+from playmetrics.llm import queries, url_filter
 from playmetrics.llm.queries import URL_RULES
 
 PAGES = "page_id long, url string, html string, host string, bad boolean, m double, n long"
@@ -97,6 +97,29 @@ def test_outcomes_decide_where_no_rule_fits(spark):
     assert {found[i]["verdict"] for i in range(60, 120)} == {"allow"}
 
 
+def test_longest_public_suffix_and_addresses(spark):
+    expected = {
+        "a.b.co.uk": ("co.uk", "b.co.uk"), "b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"),
+        "x@a.b.co.uk:80": ("co.uk", "b.co.uk"), "b.co.uk.": ("co.uk", "b.co.uk"),
+        "a.b.x.co.uk": ("x.co.uk", "b.x.co.uk"), "a.nco.uk": ("uk", "nco.uk"), "uk": ("uk", "uk"),
+        "www.example.com": ("com", "example.com"), "": ("", ""), "1.2.3.4": ("1.2.3.4", "1.2.3.4"),
+        "9.2.3.4:80": ("9.2.3.4:80", "9.2.3.4:80"), "[::1.2.3.4]": ("[::1.2.3.4]", "[::1.2.3.4]"),
+    }
+    levels = url_filter._levels(F.col("host"), ("co.uk", "x.co.uk", "com"))
+    hosts = spark.createDataFrame([(h,) for h in expected], "host string")
+    got = hosts.select(*[c.alias(k) for k, c in levels.items()]).collect()
+    assert {r["host"]: (r["suffix"], r["domain"]) for r in got} == expected
+
+
+def test_one_owner_does_not_move_another_below_a_public_suffix(spark):
+    rows = [(f"h{i}.spam.co.uk", 50, 50) for i in range(20)] + [("new.spam.co.uk", 0, 0), ("new.fine.co.uk", 0, 0)]
+    rows += [(f"h{i}.fine.co.uk", 0, 50) for i in range(20)] + [(f"w{i}.com", 0, 50) for i in range(20)]
+    hosts = spark.createDataFrame(rows, "host string, bad long, n long")
+    found = {r["host"]: r for r in url_filter.reputation(hosts, suffixes=queries.PUBLIC_SUFFIXES).collect()}
+    assert found["new.fine.co.uk"]["p"] < 0.1
+    assert found["new.spam.co.uk"]["p"] > 0.9 and found["new.spam.co.uk"]["host_verdict"] == "block"
+
+
 def test_empty_table(spark):
     assert verdicts(spark, []) == {}
     assert verdicts(spark, [], [(1, True, "x")]) == {}
