@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmetrics.llm import (
-    bpe, chat_format, exact_dedup, language_id, line_dedup, mixing, quality, simhash, toxicity,
-    url_filter,
+    bpe, chat_format, exact_dedup, language_id, line_dedup, mixing, quality, simhash, token_counts,
+    toxicity, url_filter,
 )
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+COUNTED_BY = "byte_bpe_50k.json"
+TOKEN_LIMIT = 1024
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -165,6 +167,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_counts(
+    spark: SparkSession, sf_dir: str, vocabulary: str | None = None
+) -> DataFrame:
+    path = vocabulary or public_tokenizers.path(COUNTED_BY)
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -178,5 +187,6 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_url_filter,
         op10_byte_level_bpe,
+        op12_token_counts,
     )
 }
