@@ -203,10 +203,82 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, host_verdict) AS verdic
 FROM ruled JOIN judged USING (host)"""
 
 
+def _merkle_sql() -> str:
+    """Trees level by level, and each row's path with the tampered leaf, as recursive queries."""
+    part = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(
+        part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        """All nodes, and for every leaf and level the nodes to the left and right of its path."""
+        return f"""
+{name} AS (
+  SELECT 0 AS level, tree, position, nodes, hash FROM {leaves}
+  UNION ALL
+  SELECT level + 1, tree, position // 3, any_value((nodes + 2) // 3),
+         sha256(string_agg(hash, '' ORDER BY position))
+  FROM {name} WHERE nodes > 1 GROUP BY level, tree, position // 3),
+{name}_beside AS (
+  SELECT a.level, a.tree, a.position,
+         coalesce(string_agg(b.hash, '' ORDER BY b.position) FILTER (b.position < a.position), '') AS l,
+         coalesce(string_agg(b.hash, '' ORDER BY b.position) FILTER (b.position > a.position), '') AS r
+  FROM {name} a JOIN {name} b
+    ON a.level = b.level AND a.tree = b.tree AND a.position // 3 = b.position // 3
+  WHERE a.nodes > 1 GROUP BY ALL),
+{name}_power AS (SELECT range AS level, (3 ** range)::BIGINT AS size FROM range(39)),
+{name}_steps AS (
+  SELECT p.tree, p.position, b.level, l, r
+  FROM {leaves} p JOIN {name}_power w ON w.level < 39
+  JOIN {name}_beside b ON b.level = w.level AND b.tree = p.tree AND b.position = p.position // w.size),
+{name}_last AS (SELECT tree, max(level) AS level FROM {name} GROUP BY tree),
+{name}_top AS (SELECT tree, hash FROM {name} JOIN {name}_last USING (tree, level))"""
+
+    return f"""
+WITH RECURSIVE
+tampered AS (
+  SELECT *, CASE WHEN xor(list_reduce(
+    list_concat([4294967295::UBIGINT],
+                list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda sum, byte: list_reduce(
+      list_concat([xor(sum, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
+    4294967295::UBIGINT) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other FROM documents),
+leaves AS (SELECT doc_id, source, {leaf("text")} AS leaf, {leaf("other")} AS changed FROM tampered),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS id,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         count(*) OVER (PARTITION BY source) AS nodes FROM leaves),
+placed AS (
+  SELECT *, id - min(id) OVER (PARTITION BY tree) AS position, leaf AS hash FROM ranked),
+{tree("source_tree", "placed")},
+subroots AS (
+  SELECT 0 AS tree, tree AS position, (SELECT count(*) FROM source_tree_top) AS nodes, hash
+  FROM source_tree_top),
+{tree("upper_tree", "subroots")},
+steps AS (
+  SELECT id, s.level, l, r FROM placed p
+  JOIN source_tree_steps s ON s.tree = p.tree AND s.position = p.position
+  UNION ALL
+  SELECT id, t.level + s.level, l, r FROM placed p
+  JOIN source_tree_last t ON t.tree = p.tree JOIN upper_tree_steps s ON s.position = p.tree),
+proofs AS (SELECT id, sha256(string_agg(l || r, '' ORDER BY level)) AS proof FROM steps GROUP BY id),
+folded AS (
+  SELECT id, 0 AS level, changed AS hash FROM placed
+  UNION ALL
+  SELECT f.id, f.level + 1, sha256(l || hash || r)
+  FROM folded f JOIN steps s ON s.id = f.id AND s.level = f.level),
+ends AS (SELECT id, arg_max(hash, level) AS folded_root FROM folded GROUP BY id)
+SELECT doc_id, leaf, t.hash AS subroot, u.hash AS root,
+       coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = u.hash AS verified
+FROM placed p JOIN source_tree_top t ON t.tree = p.tree JOIN upper_tree_top u ON true
+LEFT JOIN proofs USING (id) JOIN ends USING (id)"""
+
+
 SQL: dict[str, str] = {
     "op4_chat_formatting": CHAT,
     "op5_exact_dedup": EXACT,
     "op6_source_mixing": _mix_sql(),
     "op8_line_dedup": _line_sql(),
     "op9_url_filter": _url_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
 }

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmetrics.llm import (
-    bpe, chat_format, exact_dedup, language_id, line_dedup, mixing, quality, simhash, token_counts,
-    toxicity, url_filter,
+    bpe, chat_format, exact_dedup, language_id, line_dedup, merkle, mixing, quality, simhash,
+    token_counts, toxicity, url_filter,
 )
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -174,6 +174,19 @@ def op12_token_counts(
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), path, TOKEN_LIMIT)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line ends vanish from the texts of half the documents; the manifest tells which changed."""
+    found = merkle.manifest(
+        _table(spark, sf_dir, "documents"),
+        tampered=F.crc32(F.col("doc_id").cast("string")) % 2 == 0,
+        changed={"text": F.translate("text", "\n", "")},
+    )
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -188,5 +201,6 @@ QUERIES: dict[str, Query] = {
         op9_url_filter,
         op10_byte_level_bpe,
         op12_token_counts,
+        op13_merkle_manifest,
     )
 }
