@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmetrics.llm import (
-    bpe, chat_format, exact_dedup, language_id, line_dedup, merkle, mixing, quality, simhash,
-    token_counts, toxicity, url_filter,
+    alignment, bpe, chat_format, exact_dedup, language_id, line_dedup, merkle, mixing, quality,
+    simhash, token_counts, toxicity, url_filter,
 )
 from playmetrics.llm.url_filter import ALLOW, BLOCK, Rule
 
@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 COUNTED_BY = "byte_bpe_50k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -167,6 +168,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cross_tokenizer_alignment(
+    spark: SparkSession, sf_dir: str, vocabularies: tuple[str, str] | None = None
+) -> DataFrame:
+    paths = vocabularies or tuple(map(public_tokenizers.path, ALIGNED))
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), *paths)
+
+
 def op12_token_counts(
     spark: SparkSession, sf_dir: str, vocabulary: str | None = None
 ) -> DataFrame:
@@ -200,6 +208,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_url_filter,
         op10_byte_level_bpe,
+        op11_cross_tokenizer_alignment,
         op12_token_counts,
         op13_merkle_manifest,
     )

@@ -21,8 +21,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from playmetrics.llm.frames import give_back_memory
-
 # White space beyond ASCII as UTF-8, and the mark that sentencepiece uses for a blank.
 _WIDE_SPACES = (
     0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
@@ -191,29 +189,31 @@ def runs(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 class Memo:
     """Values of pieces, computed in batches of about equal bytes.
 
-    Short pieces are remembered, at most ``most`` of them; then all are forgotten and a piece may be
-    computed again, with the same value.
+    The first ``most`` short pieces are remembered, which frequent ones are among; others are computed
+    whenever a call brings them. A memo that a worker keeps serves its next tasks too.
     """
 
     def __init__(
-        self, compute: Callable[[list[str]], list[Any]], batch_bytes: int = 1 << 18,
-        most: int = 1 << 18, longest: int = 64,
+        self, compute: Callable[[list[bytes]], list[Any]], batch_bytes: int = 1 << 18,
+        most: int = 1 << 19, longest: int = 64,
     ):
         self.compute, self.batch_bytes, self.most, self.longest = compute, batch_bytes, most, longest
         self.known: dict[bytes, Any] = {}
 
     def of(self, pieces: list[bytes]) -> list[Any]:
         """The values of distinct pieces."""
-        missing = [p for p in pieces if p not in self.known]
-        fresh = {}
-        for first, after in runs(np.fromiter(map(len, missing), np.int64, len(missing)), self.batch_bytes):
+        found = list(map(self.known.get, pieces))
+        missing = [i for i, value in enumerate(found) if value is None]
+        lengths = np.fromiter((len(pieces[i]) for i in missing), np.int64, len(missing))
+        for first, after in runs(lengths, self.batch_bytes):
             own = missing[first:after]
-            fresh.update(zip(own, self.compute([p.decode("utf-8", "replace") for p in own])))
-        found = [fresh[p] if p in fresh else self.known[p] for p in pieces]
-        if len(self.known) + len(fresh) > self.most:
-            self.known.clear()
-            give_back_memory()
-        self.known.update((p, v) for p, v in fresh.items() if len(p) <= self.longest)
-        if len(self.known) > self.most:
-            self.known.clear()
+            for i, value in zip(own, self.compute([pieces[i] for i in own])):
+                found[i] = value
+                if len(self.known) < self.most and len(pieces[i]) <= self.longest:
+                    self.known[pieces[i]] = value
         return found
+
+
+def as_texts(pieces: Sequence[bytes], skip: int = 0) -> list[str]:
+    """Pieces for a tokenizer, without their first ``skip`` bytes."""
+    return [p[skip:].decode("utf-8", "replace") for p in pieces]

@@ -14,6 +14,7 @@ held whole by one task.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from playmetrics.llm.frames import give_back_memory
 from playmetrics.llm.segments import (
-    Memo, cut_places, joined, load, pieces_of, read_tokenizer, runs,
+    Memo, TokenizerFile, as_texts, cut_places, joined, load, pieces_of, read_tokenizer, runs,
 )
 
 # Bytes of text that are cut at once, and bytes in a batch that the tokenizer sees.
@@ -32,18 +33,32 @@ STEP_BYTES = 1 << 22
 BATCH_BYTES = 1 << 18
 
 
-def _counted(texts: pa.Array, memo: Memo, cuts: bool, skip: int) -> np.ndarray:
-    """Tokens of each text. ``skip`` is 1 where pieces lose the blank that they start with.
+class Counter:
+    """Lengths of texts in tokens. Pieces lose the blank that they start with if the tokenizer puts one
+    in front of every text; ``joined`` puts one there for it."""
 
-    What ``joined`` puts in front stands for the blank that such a tokenizer adds to a text.
-    """
-    raw, edges = joined(texts, " " * skip)
-    starts = cut_places(raw, edges) if cuts else edges[:-1][np.diff(edges) > 0]
-    coded = pieces_of(raw, starts).dictionary_encode()
-    lengths = np.array(memo.of([w[skip:] for w in coded.dictionary.to_pylist()]), np.int64)
-    each = lengths[coded.indices.to_numpy()] if len(starts) else np.zeros(0, np.int64)
-    total = np.concatenate(([0], np.cumsum(each)))
-    return np.diff(total[np.searchsorted(starts, edges)])
+    def __init__(self, file: TokenizerFile, specials_as_text: bool, batch_bytes: int):
+        tokenizer = load(file, specials_as_text)
+        self.cuts = tokenizer.cuts
+        self.skip = int(tokenizer.cuts and tokenizer.drops_blank)
+        self.memo = Memo(
+            lambda pieces: list(map(len, tokenizer.ids(as_texts(pieces, self.skip)))), batch_bytes
+        )
+
+    def of(self, texts: pa.Array) -> np.ndarray:
+        raw, edges = joined(texts, " " * self.skip)
+        starts = cut_places(raw, edges) if self.cuts else edges[:-1][np.diff(edges) > 0]
+        coded = pieces_of(raw, starts).dictionary_encode()
+        lengths = np.array(self.memo.of(coded.dictionary.to_pylist()), np.int64)
+        each = lengths[coded.indices.to_numpy()] if len(starts) else np.zeros(0, np.int64)
+        total = np.concatenate(([0], np.cumsum(each)))
+        return np.diff(total[np.searchsorted(starts, edges)])
+
+
+@lru_cache(maxsize=1)
+def _counter(file: TokenizerFile, specials_as_text: bool, batch_bytes: int) -> Counter:
+    """Kept by a Python worker for its next tasks."""
+    return Counter(file, specials_as_text, batch_bytes)
 
 
 def count_tokens(
@@ -67,13 +82,11 @@ def count_tokens(
     file_of = docs.sparkSession.sparkContext.broadcast(read_tokenizer(path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(file_of.value, specials_as_text)
-        memo = Memo(lambda texts: list(map(len, tokenizer.ids(texts))), batch_bytes)
-        skip = int(tokenizer.cuts and tokenizer.drops_blank)
+        counter = _counter(file_of.value, specials_as_text, batch_bytes)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
             counts = [
-                _counted(batch.column(1).slice(first, after - first), memo, tokenizer.cuts, skip)
+                counter.of(batch.column(1).slice(first, after - first))
                 for first, after in runs(sizes.to_numpy(zero_copy_only=False), STEP_BYTES)
             ]
             yield pa.RecordBatch.from_arrays(

@@ -112,10 +112,11 @@ def test_a_long_text_is_cut_and_pieces_seen_once():
     assert len(seen) == 51
 
 
-def test_forgetting_changes_nothing():
+def test_a_full_memo_changes_nothing():
     memo = segments.Memo(lambda texts: list(map(len, texts)), most=3)
-    for words in ([b"a", b"bb"], [b"bb", b"ccc", b"dddd"], [b"a", b"eeeee"]):
+    for words in ([b"a", b"bb"], [b"bb", b"ccc", b"dddd"], [b"a", b"eeeee"], [b"eeeee" * 20]):
         assert memo.of(words) == list(map(len, words))
+    assert len(memo.known) == 3
 
 
 def test_unknown_kinds_of_file_are_refused():
