@@ -44,7 +44,7 @@ from playmetrics.llm.segments import (
 from playmetrics.storage import store
 
 # Bytes of text in a block, and bits for the number of a task's block.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 _BLOCK_BITS = 32
 _MARKS = ("", ",", ";", "|")
 _BYTE_TOKEN = re.compile("<0x([0-9A-F]{2})>")
