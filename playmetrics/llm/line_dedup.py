@@ -1,17 +1,23 @@
-"""Line dedup by shared pieces and a verified edit distance.
-
-A line goes if an equal line, or one within ``edits`` edits, comes earlier. Lines are compared without
-white space at their ends. Equal lines go at any length; only the near comparison leaves out lines under
-``MIN_CHARS`` characters, where an edit is a large part of a line ("1." and "2."). Earlier means by id
-of the document, then by line.
-
-Equal lines are found by digest. For near ones, a line is cut into ``edits`` + 1 pieces. Edits leave at
-least one piece of the shorter line intact, and the longer one has it at most ``edits`` characters from
-its place. So a line asks for all pieces, at all places where they can be, that a line of its length
-or up to ``edits`` less may have; two lines that may be near meet in a piece that is the own of one.
-Lines that meet are compared by edit distance in the tasks that hold them: no pairs are listed. A
-piece that more than ``BLOCK`` lines share is cut into parts, and pairs of parts are compared in
-tasks of their own.
+"""Line dedup by a deletion-neighbourhood join and a verified edit distance.
+
+A line goes if an equal line, or a near one, comes earlier. Lines are compared without white space at their
+ends. Equal lines go at any length. Two lines are near if their edit distance is at most ``bound`` of the
+shorter one: ``edits``, but no more than one edit for every ``CHARS_PER_EDIT`` of its characters, since
+one edit is a large part of a short line ("1." and "2."). Earlier means by id of the document, then by line.
+
+Equal lines are found by digest. For near ones, a line is cut into as many pieces as its bound and one more.
+Edits leave at least one piece of the shorter line intact, and the longer one has it at most the bound
+from its place. So a line asks for all pieces, at all places where they can be, that a line of its length
+or less may have; only lines that share a piece go on.
+
+What lies before and after a shared piece has at most the bound's edits in all, so one of the two sides has at
+most half of them. Lines that share a piece emit the hashes of all their sides' variants with so many
+deletions; equal variants are joined, and lines that have one are compared by edit distance. A piece that
+more than ``BLOCK`` lines share is no place to do that: there a line emits the variants of all that is
+around the piece, with as many deletions as edits, and each piece and variant becomes a key of its own.
+So many lines with the same start cost keys in proportion to their number and no pairs. Should more
+than ``BLOCK`` lines share even that, or if a line has more than ``_MOST_VARIANTS`` of them, which are then
+not emitted, the key is cut into parts, and pairs of parts are compared in tasks of their own.
 
 Texts of lines are not shuffled but for those that meet another; to find them again, a bitmap of
 fixed size with the digests' first three bytes is broadcast, and digests decide.
@@ -25,6 +31,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +45,9 @@ from pyspark.sql import types as T
 from playmetrics.operators.ordering import with_position
 from playmetrics.storage import store
 
-# Shortest lines that the near comparison looks at; equal lines go at any length.
-MIN_CHARS = 20
 EDITS = 1
+# A line of fewer characters has no near lines, one of up to twice as many allows one edit, and so on.
+CHARS_PER_EDIT = 10
 # Lines that share a piece and are compared in one task, at most twice as many.
 BLOCK = 256
 # The white space that does not count at the ends of a line.
@@ -47,6 +56,11 @@ _BITMAP_BYTES = 3
 # Counters of characters that rule pairs out, and groups large enough to use them.
 _BINS = 64
 _LARGE = 16
+# Most variants of a line that are emitted where many lines share a piece.
+_MOST_VARIANTS = 10_000
+# An odd base, which has an inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def lines_of(text: str | None) -> Iterator[tuple[int, str]]:
@@ -61,31 +75,86 @@ def digest(line: str) -> bytes:
     return hashlib.md5(line.encode("utf-8", "replace")).digest()
 
 
-def piece_keys(line: str, edits: int) -> list[int]:
-    """Hashes of the ``edits`` + 1 pieces of a line, then of the pieces it asks for.
+def bound(length: int, edits: int) -> int:
+    """Edits that a pair may have whose shorter line has ``length`` characters."""
+    return min(edits, length // CHARS_PER_EDIT)
 
-    Two lines of at least ``MIN_CHARS`` characters within ``edits`` edits share one that is the own of the
+
+def pieces(line: str, edits: int) -> Iterator[tuple[str, int, int, bool]]:
+    """The pieces that a line has or asks for: what they say, where they start and end, and whether
+    they are its own.
+
+    Two lines whose distance is within the bound of the shorter one share a piece that is an own one of the
     shorter. Edits before piece i and after it are counted apart: one side has at most as
-    many as pieces, which bounds how far an intact piece can be from its place.
+    many as pieces, which limits how far an intact piece can be from its place.
     """
-    n, own, asked = len(line), [], {}
-    if n < MIN_CHARS:
-        return own
+    n = len(line)
     for length in range(n, max(n - edits, 0) - 1, -1):
-        more = n - length
-        cuts = [length * i // (edits + 1) for i in range(edits + 2)]
+        more, most = n - length, bound(length, edits)
+        if more > most or (edits and not most):
+            continue
+        cuts = [length * i // (most + 1) for i in range(most + 2)]
         for i, (start, end) in enumerate(zip(cuts, cuts[1:])):
-            for by in range(max(-i, more - edits + i), min(i, more + edits - i) + 1):
-                if start + by < 0 or end + by > n:
-                    continue
-                piece = f"{length},{i},{line[start + by:end + by]}"
-                key = xxhash.xxh64_intdigest(piece.encode("utf-8", "replace"))
-                key -= (key >> 63) << 64
-                if not more and not by:
-                    own.append(key)
-                else:
-                    asked[key] = None
-    return own + [key for key in asked if key not in own]
+            for by in range(max(-i, more - most + i), min(i, more + most - i) + 1):
+                if 0 <= start + by and end + by <= n:
+                    said = f"{length},{i},{line[start + by:end + by]}"
+                    yield said, start + by, end + by, not more and not by
+
+
+def _key(said: str) -> int:
+    key = xxhash.xxh64_intdigest(said.encode("utf-8", "replace"))
+    return key - ((key >> 63) << 64)
+
+
+def piece_keys(line: str, edits: int) -> list[int]:
+    """Distinct hashes of the pieces that are a line's own, then of those it asks for."""
+    own, asked = {}, {}
+    for said, _, _, is_own in pieces(line, edits):
+        (own if is_own else asked)[_key(said)] = None
+    return [*own, *(key for key in asked if key not in own)]
+
+
+@cache
+def _powers(base: int, count: int) -> np.ndarray:
+    """Powers of a base modulo 2^64; ``count`` is rounded up by the caller."""
+    powers = np.ones(count, np.uint64)
+    powers[1:] = base
+    return np.multiply.accumulate(powers)
+
+
+def variants(text: str, deletions: int) -> np.ndarray:
+    """Hashes of all strings that at most so many deletions make of ``text``.
+
+    A hash is the sum of code points times powers of the base by place. Characters after a deleted
+    one move down by a place, which divides what they add by the base, so that every variant takes a
+    few operations on the sums up to its deleted places, whatever its length.
+    """
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    n = len(points)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((points + np.uint64(1)) * _powers(_BASE, 1 << n.bit_length())[:n], out=sums[1:])
+        found = [sums[-1:]]
+        for count in range(1, min(deletions, n) + 1):
+            if count == 1:
+                at = np.arange(n).reshape(1, -1)
+            elif count == 2:
+                at = np.stack(np.triu_indices(n, 1))
+            else:
+                at = np.array(list(combinations(range(n), count))).T
+            total, start = np.zeros(at.shape[1], np.uint64), np.zeros(at.shape[1], np.int64)
+            for moved, place in enumerate([*at, np.full(at.shape[1], n)]):
+                total += (sums[place] - sums[start]) * np.uint64(pow(_INVERSE, moved, 1 << 64))
+                start = place + 1
+            found.append(total)
+        # strings of different length must not agree by trailing sums alone
+        return np.unique(np.concatenate([
+            own + np.uint64(0x632BE59BD9B4E019) * np.uint64(n - count) for count, own in enumerate(found)
+        ]))
+
+
+def _count_variants(length: int, deletions: int) -> int:
+    return sum(comb(length, count) for count in range(deletions + 1))
 
 
 def _equal_run(a: str, b: str, i: int, j: int) -> int:
@@ -148,18 +217,37 @@ def _split(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.RecordB
 
 
 def _keyed(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
-    """The keys of each line, and which are its own."""
+    """The pieces of each line: key, whether it is an own one, and where it starts and ends."""
     for batch in batches:
-        keys, own, at = [], [], []
+        rows, at = [], []
         for i, line in enumerate(batch.column("text")):
-            found = piece_keys(line.as_py(), edits)
-            keys += found
-            own += [place <= edits for place in range(len(found))]
+            found = {(_key(said), own, start, end) for said, start, end, own in pieces(line.as_py(), edits)}
+            rows += found
             at += [i] * len(found)
+        key, own, start, end = zip(*rows) if rows else ((), (), (), ())
         yield pa.RecordBatch.from_arrays([
-            pa.array(keys, pa.int64()), pa.array(own, pa.bool_()),
-            batch.column("rank").take(pa.array(at, pa.int64())),
-        ], names=["key", "own", "rank"])
+            pa.array(key, pa.int64()), pa.array(own, pa.bool_()), pa.array(start, pa.int32()),
+            pa.array(end, pa.int32()), batch.column("rank").take(pa.array(at, pa.int64())),
+        ], names=["key", "own", "start", "end", "rank"])
+
+
+def _refined(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
+    """For lines with a piece that very many share: a key for the piece and each variant of the rest."""
+    names = ["key", "own", "start", "end", "rank"]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            line, start, end = (row.column(c)[0].as_py() for c in ("text", "start", "end"))
+            rest, most = line[:start] + line[end:], bound(len(line), edits)
+            keys = row.column("key").to_numpy()
+            if _count_variants(len(rest), most) <= _MOST_VARIANTS:
+                with np.errstate(over="ignore"):
+                    keys = (variants(rest, most) ^ keys.view(np.uint64)) * np.uint64(_BASE)
+                keys = keys.view(np.int64)
+            same = pa.array(np.zeros(len(keys), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), *(row.column(c).take(same) for c in names[1:])], names=names
+            )
 
 
 def _character_counts(lines: list[str]) -> np.ndarray:
@@ -170,27 +258,50 @@ def _character_counts(lines: list[str]) -> np.ndarray:
     ]).astype(np.int32)
 
 
-def _link_run(
-    own: list[bool], part: list[int], lines: list[str], edits: int, across: bool
-) -> Iterator[tuple[int, int]]:
-    """For each line with a partner before it, its place and that of one; lines in order of rank."""
+def _joined_variants(lines: list[str], start: list[int], end: list[int], edits: int) -> np.ndarray:
+    """Which lines of a run have a variant of the same side of the shared piece in common."""
+    hashes, at = [], []
+    for i, line in enumerate(lines):
+        for side, text in enumerate((line[:start[i]], line[end[i]:])):
+            own = variants(text, bound(len(line), edits) // 2) ^ np.uint64(side)
+            hashes.append(own)
+            at.append(np.full(len(own), i))
+    hashes, at = np.concatenate(hashes), np.concatenate(at)
+    order = np.argsort(hashes, kind="stable")
+    hashes, at = hashes[order], at[order]
+    joined = np.zeros((len(lines), len(lines)), bool)
+    edges = np.flatnonzero(np.diff(hashes)) + 1
+    done = set()
+    for first, after in zip([0, *edges.tolist()], [*edges.tolist(), len(at)]):
+        if after - first > 1:
+            members = at[first:after]
+            if (known := members.tobytes()) not in done:
+                done.add(known)
+                joined[np.ix_(members, members)] = True
+    return joined
+
+
+def _link_run(run: dict[str, list], edits: int, across: bool) -> Iterator[tuple[int, int]]:
+    """For each line with a near one before it, its place and that of one; lines in order of rank."""
+    lines, own, part, rank = (run[c] for c in ("text", "own", "part", "rank"))
+    if len(lines) < 2:
+        return
+    may = _joined_variants(lines, run["start"], run["end"], edits)
+    owns, parts, ranks = np.array(own), np.array(part), np.array(rank)
+    may &= owns[:, None] | owns[None, :]
+    if across:
+        may &= parts[:, None] != parts[None, :]
     large = len(lines) > _LARGE
     if large:
         counts = _character_counts(lines)
-        owns, parts = np.array(own), np.array(part)
     for j in range(1, len(lines)):
-        before = range(j)
+        before = may[j, :j] & (ranks[:j] != ranks[j])
         if large:
-            may = np.abs(counts[:j] - counts[j]).sum(axis=1) <= 2 * edits
-            may &= owns[:j] | owns[j]
-            if across:
-                may &= parts[:j] != parts[j]
-            before = np.flatnonzero(may).tolist()
-        for i in before:
-            if (own[i] or own[j]) and not (across and part[i] == part[j]):
-                if within(lines[i], lines[j], edits):
-                    yield j, i
-                    break
+            before &= np.abs(counts[:j] - counts[j]).sum(axis=1) <= 2 * edits
+        for i in np.flatnonzero(before).tolist():
+            if within(lines[i], lines[j], bound(min(len(lines[i]), len(lines[j])), edits)):
+                yield j, i
+                break
 
 
 def _link_sorted(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
@@ -200,13 +311,15 @@ def _link_sorted(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.R
         new = np.ones(table.num_rows, bool)
         new[1:] = np.any([c[1:] != c[:-1] for c in runs], axis=0)
         edges = np.append(np.flatnonzero(new), table.num_rows).tolist()
-        own, part, rank, lines = (table.column(c).to_pylist() for c in ("own", "part", "rank", "text"))
+        names = ("own", "part", "rank", "start", "end", "text")
+        columns = {c: table.column(c).to_pylist() for c in names}
         across = (runs[1] != runs[2]).tolist()
         later, earlier = [], []
         for a, b in zip(edges, edges[1:]):
-            for j, i in _link_run(own[a:b], part[a:b], lines[a:b], edits, across[a]):
-                later.append(rank[a + j])
-                earlier.append(rank[a + i])
+            run = {c: values[a:b] for c, values in columns.items()}
+            for j, i in _link_run(run, edits, across[a]):
+                later.append(run["rank"][j])
+                earlier.append(run["rank"][i])
         return pa.RecordBatch.from_arrays(
             [pa.array(later, pa.int64()), pa.array(earlier, pa.int64())], names=["rank", "earlier"]
         )
@@ -277,30 +390,38 @@ def _texts(narrow: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
+def _shared(keyed: DataFrame) -> DataFrame:
+    """Keys that more than one row has, and one of them as its own; and how many rows."""
+    return keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own")).where(
+        (F.col("n") > 1) & F.col("own")
+    ).select("key", "n")
+
+
 def near_links(texts: DataFrame, edits: int = EDITS, block: int = BLOCK) -> DataFrame:
-    """Verified pairs ``rank``, ``earlier`` of lines within ``edits`` edits.
+    """Verified pairs ``rank``, ``earlier`` of near lines.
 
-    ``texts`` has ``rank`` and ``text`` of distinct lines, and is read three times. Every line with an
-    earlier partner has a pair, not every pair of partners is there. One table is stored: the keys
-    that lines share.
+    ``texts`` has ``rank`` and ``text`` of distinct lines, and is read again and again. Every line with an
+    earlier partner has a pair, not every pair of partners is there. Keys that lines share are stored.
     """
-    keyed = texts.mapInArrow(
-        lambda batches: _keyed(batches, edits), "key long, own boolean, rank long"
-    )
-    shared = store(
-        keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
-        .where((F.col("n") > 1) & F.col("own"))
-        .select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    schema = "key long, own boolean, start int, end int, rank long"
+    keyed = texts.mapInArrow(lambda batches: _keyed(batches, edits), schema)
+    shared = store(_shared(keyed))
+    rare = keyed.join(shared.where(F.col("n") <= block).select("key"), "key")
+    frequent = keyed.join(shared.where(F.col("n") > block).select("key"), "key").join(texts, "rank")
+    refined = frequent.mapInArrow(lambda batches: _refined(batches, edits), schema)
+    met = store(rare.unionByName(refined))
+    parts = store(
+        _shared(met).select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
     )
     part = F.pmod(F.xxhash64("rank"), "parts").cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = (
-        keyed.join(shared, "key")
-        .select("key", "own", "rank", part.alias("part"), other.alias("other"))
+        met.join(parts, "key")
+        .select("key", "own", "start", "end", "rank", part.alias("part"), other.alias("other"))
         .join(texts, "rank")
         .select(
             "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-            "own", "part", "rank", "text",
+            "own", "part", "rank", "start", "end", "text",
         )
     )
     order = ["key", "low", "high"]
@@ -318,7 +439,7 @@ def line_dedup(
     """One row per document: ``doc_id, row, n_lines, n_exact, n_near, dropped``.
 
     ``dropped`` are the numbers, from 0, of the lines that go: ``n_exact`` because an equal line comes
-    earlier, ``n_near`` because of one within ``edits`` edits. ``row`` numbers the rows of this result's run. Calling
+    earlier, ``n_near`` because of a near one, with ``edits`` edits at most. ``row`` numbers the rows of this result's run. Calling
     this runs jobs and stores tables of digests.
     """
     if edits < 0:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playmetrics.llm import line_dedup, mixing, url_filter
+from playmetrics.llm import mixing, url_filter
 from playmetrics.llm.queries import PROBE, URL_RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -121,23 +121,30 @@ FROM placed LEFT JOIN counted USING (doc_id)"""
 
 
 def _line_sql() -> str:
-    """Pairs by a shared half, then Levenshtein; no variants."""
-    least = line_dedup.MIN_CHARS
-    white = " || ".join(f"chr({ord(c)})" for c in line_dedup.EDGES)
+    """Pairs of lines that share a third of the shorter at any place within two of its own, and then
+    Levenshtein; two edits, and one for every ten characters at most."""
+    white = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
     return f"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 every AS (
   SELECT doc_id, unnest(range(len(l))) AS line, trim(unnest(l), {white}) AS t FROM split),
-long AS (SELECT * FROM every WHERE length(t) >= {least}),
+long AS (SELECT * FROM every WHERE t <> ''),
 single AS (
   SELECT t, length(t) AS n, min(struct_pack(d := doc_id, l := line)) AS first FROM long GROUP BY t),
-halves AS (
-  SELECT t, first, m, unnest(['<' || substr(t, 1, m // 2), '>' || right(t, m - m // 2)]) AS half
-  FROM (SELECT t, first, unnest([n, n - 1]) AS m FROM single)),
+thirds AS (
+  SELECT t, first, n, m, i, m * i // 3 AS start, m * (i + 1) // 3 AS stop
+  FROM (SELECT *, unnest([n, n - 1, n - 2]) AS m FROM single WHERE n >= 10), range(3) r(i) WHERE m >= 10),
+own AS (SELECT t, first, m, i, substr(t, start + 1, stop - start) AS piece FROM thirds WHERE m = n),
+asked AS (
+  SELECT DISTINCT t, first, m, i, substr(t, start + s + 1, stop - start) AS piece
+  FROM thirds, range(-2, 3) shift(s) WHERE start + s >= 0 AND stop + s <= n),
+met AS (
+  SELECT DISTINCT a.t AS a, b.t AS b, a.first AS at_a, b.first AS at_b
+  FROM own a JOIN asked b USING (m, i, piece) WHERE a.t <> b.t),
 near AS (
-  SELECT DISTINCT b.t FROM halves a JOIN halves b ON a.m = b.m AND a.half = b.half
-  WHERE a.first < b.first AND abs(length(a.t) - length(b.t)) <= 1 AND levenshtein(a.t, b.t) <= 1),
+  SELECT CASE WHEN at_a < at_b THEN b ELSE a END AS t FROM met
+  WHERE levenshtein(a, b) <= least(2, least(length(a), length(b)) // 10)),
 judged AS (
   SELECT doc_id, line, struct_pack(d := doc_id, l := line) <> first AS again,
          t IN (SELECT t FROM near) AS near
