@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmetrics.functions.numeric import ratio
+from playmetrics.functions.numeric import add_up, ratio, total
 from playmetrics.operators.distinct import count_distinct, keep_marked, marked, merge
 from playmetrics.plans.players import (
     buyers, per_player, positive, positive_marks, transacting, users_by,
@@ -63,7 +63,7 @@ def _race_totals(tables: GameTables) -> DataFrame:
         transactions=F.count("transaction_id"),
         positive_rows=F.count_if(positive()),
         positive=F.count(F.when(positive(), F.col("transaction_id"))),
-        spent=F.sum(F.when(positive(), tables.money())),
+        spent=total(F.when(positive(), tables.money()), tables.amount_scale),
     ).withColumn("bought", F.lit(True))
     pays = F.max(F.when(F.col("payer") == 1, True))
     players = users_by(tables, "race_id", pays=pays).join(facts, "id", "left")
@@ -78,7 +78,7 @@ def _race_totals(tables: GameTables) -> DataFrame:
         players_where(F.col("pays") & F.col("bought")).alias("count_paying_u"),
         F.sum("positive_rows").alias("positive_rows"),
         F.sum("positive").alias("positive"),
-        F.sum(F.col("spent") * F.col("copies")).alias("spent"),
+        add_up(F.col("spent"), tables.amount_scale, F.col("copies")).alias("spent"),
     )
 
 

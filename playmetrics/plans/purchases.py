@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmetrics.functions.numeric import money, ratio
+from playmetrics.functions.numeric import NARROW, add_up, amount_of, ratio, total
 from playmetrics.operators.distinct import mark, marked, merge
 from playmetrics.operators.ordering import histogram, lower_median, with_position
 from playmetrics.plans.players import per_player, positive, users_by
@@ -26,13 +26,19 @@ def purchase_amount_profile(tables: GameTables) -> DataFrame:
     amount, rows = F.col("amount"), F.col("rows")
     totals = hist.agg(
         F.coalesce(F.sum("transactions"), F.lit(0)).alias("count_transaction"),
-        F.sum(amount * rows).cast(money(scale)).alias("sum_amount"),
+        total(amount, scale, rows).alias("_sum"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
         F.sum("rows").alias("_n"),
-    ).withColumn("avg_amount", ratio(F.col("sum_amount"), F.col("_n"), 2, scale))
+    ).withColumn("avg_amount", ratio(F.col("_sum"), F.col("_n"), 2, scale)).withColumn(
+        "sum_amount", amount_of(F.col("_sum"), scale)
+    )
 
-    off = (amount - F.col("avg_amount")).cast("double")
+    # of wide amounts, whose mean has few digits before the point, a difference keeps its places
+    mean = F.col("avg_amount") if scale <= NARROW else F.col("avg_amount").cast(
+        f"decimal({max(41 - scale, 4)},2)"
+    )
+    off = (amount - mean).cast("double")
     spread = hist.crossJoin(F.broadcast(totals.select("avg_amount"))).agg(
         F.sum(off * off * rows).alias("_squares"), F.sum(off * rows).alias("_offset")
     )
@@ -71,8 +77,9 @@ def activity_by_payer(tables: GameTables, group: str = "payer") -> DataFrame:
 
     Every purchase counts: those of unknown players form the NULL group.
     """
+    scale = tables.amount_scale
     spent = per_player(
-        tables.events, trans=F.count("transaction_id"), amount=F.sum(tables.money())
+        tables.events, trans=F.count("transaction_id"), amount=total(tables.money(), scale)
     )
     copies = F.coalesce("copies", F.lit(1))
     groups = (
@@ -81,7 +88,7 @@ def activity_by_payer(tables: GameTables, group: str = "payer") -> DataFrame:
         .agg(
             F.count("id").alias("count_users"),
             F.sum(F.col("trans") * copies).alias("count_trans"),
-            F.sum(F.col("amount") * copies).alias("_amount"),
+            add_up(F.col("amount"), scale, copies).alias("_amount"),
         )
     )
     return groups.select(
@@ -89,7 +96,7 @@ def activity_by_payer(tables: GameTables, group: str = "payer") -> DataFrame:
         "count_users",
         "count_trans",
         ratio(F.col("count_trans"), F.col("count_users"), 2).alias("avg_trans"),
-        ratio(F.col("_amount"), F.col("count_users"), 2, tables.amount_scale).alias("avg_amount"),
+        ratio(F.col("_amount"), F.col("count_users"), 2, scale).alias("avg_amount"),
     )
 
 

@@ -16,6 +16,9 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # tests find scans by their paths, which plan texts cut at 100 characters by default
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -5,9 +5,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from playmetrics.plans import frequency, funnel, purchases
 from playmetrics.schema import GameTables
 from playmetrics.sources.tables import from_parquet
+from tests.compare import _rows
 from tests.fixture_data import PURCHASES, tables
 from tests.test_plans import plan
 
@@ -91,3 +93,34 @@ def test_sides_of_a_key_must_agree(spark):
     assert mixed.users.schema["id"].dataType == mixed.events.schema["id"].dataType
     assert purchases.activity_by_payer(mixed).count() == 3
     assert len(PURCHASES) == mixed.events.count()
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,18)", "decimal(20,13)", "decimal(38,30)"])
+@pytest.mark.parametrize("name", list(driver.ANALYSES))
+def test_wide_amounts_give_the_same_results(spark, kind, name):
+    """The hand-made tables with amounts of many places: every analysis, value for value."""
+    game = tables(spark)
+    wide = GameTables(
+        game.users, game.race, game.items, game.events.withColumn("amount", F.col("amount").cast(kind))
+    )
+    analysis = driver.ANALYSES[name]
+    own, expected = analysis(wide), analysis(game)
+    assert own.columns == expected.columns
+    assert _rows(own.columns, own.collect()) == _rows(expected.columns, expected.collect())
+
+
+def test_the_last_place_of_a_wide_amount_counts(spark):
+    """2.01 over two buyers rounds up, a unit of the 18th place less does not."""
+    for text, mean, each in [("1.010000000000000000", "1.01", "2.01"), ("1.009999999999999999", "1.00", "2.01")]:
+        game = priced(spark, [0, 0], "decimal(38,18)")
+        amounts = [Decimal(text), Decimal("1.000000000000000000")]
+        rows = [(i, 1, None, a, 10) for i, a in enumerate(amounts)]
+        events = spark.createDataFrame(
+            rows, "transaction_id long, id long, date timestamp_ntz, amount decimal(38,18), item_code long"
+        )
+        game = GameTables(game.users, game.race, game.items, events)
+        found = purchases.purchase_amount_profile(game).first()
+        assert (found["sum_amount"], found["avg_amount"]) == (sum(amounts), Decimal(mean))
+        assert (found["min_amount"], found["max_amount"], found["mid_amount"]) == (min(amounts), max(amounts), min(amounts))
+        assert found["stddev_amount"] == Decimal("0.01")
+        assert funnel.race_activity(game).first()["avg_amount_u"] == Decimal(each)

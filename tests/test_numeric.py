@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 from fractions import Fraction
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
-from playmetrics.functions.numeric import quotient, ratio, whole
+from playmetrics.functions.numeric import add_up, amount_of, quotient, ratio, total, whole
 
 SCHEMA = "a decimal(28,2), b bigint"
 
@@ -51,3 +52,59 @@ def test_whole_keeps_halves(spark):
     total = df.agg(F.sum(quotient(F.col("a"), F.col("b"))).alias("s"))
     assert total.first()["s"] < Decimal("2.5")
     assert total.select(whole(F.col("s"))).first()[0] == 3
+
+
+def _amounts(precision, scale, seed=5):
+    rng = random.Random(seed)
+    rows = []
+    for group in range(30):
+        for _ in range(rng.randint(1, 6)):
+            digits = rng.choice([precision - 2, precision - 5, scale, 3, 1])
+            least = -10**digits + 1 if group % 2 else 0
+            rows.append((group, Decimal(rng.randint(least, 10**digits - 1)).scaleb(-scale)))
+    return rows
+
+
+@pytest.mark.parametrize("precision, scale", [
+    (38, 18), (20, 13), (38, 14), (30, 25), (38, 30), (38, 37),
+])
+def test_wide_sums_are_exact(spark, precision, scale):
+    """Against fractions: ratios of sums, of sums of sums, and the sums themselves."""
+    rows = _amounts(precision, scale)
+    df = spark.createDataFrame(rows, f"g int, v decimal({precision},{scale})")
+    found = df.groupBy("g").agg(total(F.col("v"), scale).alias("t"), F.count("v").alias("n"))
+    got = found.select(
+        "g", ratio(F.col("t"), F.col("n"), 2, scale).alias("two"),
+        ratio(F.col("t"), F.col("n"), 3, scale).alias("three"), amount_of(F.col("t"), scale).alias("sum"),
+    ).collect()
+    for r in got:
+        own = [Fraction(v) for g, v in rows if g == r["g"]]
+        assert r["two"] == _round(sum(own) / len(own), 2)
+        assert r["three"] == _round(sum(own) / len(own), 3)
+        assert Fraction(r["sum"]) == sum(own)
+    again = found.groupBy().agg(
+        add_up(F.col("t"), scale, F.col("g") + 1).alias("t"), F.sum("n").alias("n")
+    ).select(ratio(F.col("t"), F.col("n"), 2, scale)).first()[0]
+    assert again == _round(sum((g + 1) * Fraction(v) for g, v in rows) / len(rows), 2)
+
+
+def test_wide_ratios_at_a_tie(spark):
+    """A half is rounded away from zero; what is short of it by the last place is not."""
+    for text, expected in [
+        ("0.010000000000000000", "0.01"), ("0.009999999999999998", "0.00"), ("-0.010000000000000000", "-0.01"),
+        ("-0.009999999999999998", "0.00"), ("2.010000000000000000", "1.01"), ("2.009999999999999999", "1.00"),
+    ]:
+        df = spark.createDataFrame([(Decimal(text),), (Decimal(0),)], "v decimal(38,18)")
+        got = df.agg(ratio(total(F.col("v"), 18), F.count("v"), 2, 18)).first()[0]
+        assert got == Decimal(expected), text
+
+
+def test_wide_sums_of_nothing(spark):
+    none = spark.createDataFrame([(None,), (None,)], "v decimal(38,18)")
+    sums = none.agg(total(F.col("v"), 18).alias("t"), F.count("v").alias("n"))
+    assert tuple(sums.select(amount_of(F.col("t"), 18), ratio(F.col("t"), F.lit(3), 2, 18)).first()) == (None, None)
+    df = spark.createDataFrame([(Decimal(1),)], "v decimal(38,18)")
+    with pytest.raises(ArithmeticException):
+        df.agg(ratio(total(F.col("v"), 18), F.lit(0), 2, 18)).collect()
+    with pytest.raises(ValueError, match="more than 37"):
+        total(F.col("v"), 38)

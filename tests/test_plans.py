@@ -35,8 +35,13 @@ def plan(df):
 
 
 def scans(text, table):
-    """Reads of a table; stored intermediate results are in other folders."""
-    return len(re.findall(rf"FileScan parquet.*?/{table}\]", text))
+    """Reads of a table; stored intermediate results are in other folders.
+
+    Every scan must show its whole path, or else not finding one would mean nothing.
+    """
+    read = re.findall(r"FileScan parquet.*?Location: [^\[]*\[(.*?)\]", text)
+    assert len(read) == text.count("FileScan") and not any("..." in path for path in read)
+    return sum(path.endswith(f"/{table}") for path in read)
 
 
 def test_filters_and_columns_reach_the_scan(stored):
