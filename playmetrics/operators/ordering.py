@@ -19,7 +19,7 @@ from playmetrics.storage import store
 _SLOT_BITS = 33
 
 
-def _sorted_slots(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def _sorted_slots(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     slot = F.monotonically_increasing_id()
     stored = store(df.orderBy(*order).withColumn("_slot", slot))
     return stored.withColumn("_part", F.shiftright("_slot", _SLOT_BITS))
@@ -56,6 +56,28 @@ def with_position(df: DataFrame, order: Sequence[Column], total: str | None = No
     )
 
 
+def with_previous(
+    df: DataFrame, order: Sequence[Column | str], columns: Sequence[str], out: str
+) -> DataFrame:
+    """Add ``out``: a struct of ``columns`` of the row before in ``order``; NULL for the first row.
+
+    Each sort partition looks back within itself, and its first row at the last row of the partition before
+    it, which are one row per sort partition. Give an order without ties: rows that are equal in it
+    cannot be spread over partitions.
+    """
+    row = F.struct(*[F.col(c).alias(c) for c in columns])
+    slots = _sorted_slots(df, order).withColumn("_here", row)
+    ends = slots.groupBy("_part").agg(F.max_by("_here", "_slot").alias("_end"))
+    border = F.lag("_end").over(Window.orderBy("_part"))
+    borders = ends.select("_part", border.alias("_border"))
+    earlier = F.lag("_here").over(Window.partitionBy("_part").orderBy("_slot"))
+    return (
+        slots.withColumn("_earlier", earlier)
+        .join(F.broadcast(borders), "_part")
+        .select(*df.columns, F.coalesce("_earlier", "_border").alias(out))
+    )
+
+
 def tile(position: Column, total: Column, tiles: int) -> Column:
     """``ntile(tiles)`` from a position: the first ``total mod tiles`` tiles get one more row."""
     small = F.call_function("div", total, F.lit(tiles).cast("bigint"))

@@ -1,0 +1,109 @@
+"""Previous times against a plain window, and where rows go if a key has most of them."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from playmetrics.operators import lag, ordering
+from playmetrics.operators.lag import lag_time
+from playmetrics.operators.ordering import with_previous
+
+SCHEMA = "tx long, id long, at timestamp_ntz, note string"
+START = datetime(2024, 1, 1)
+
+
+def made_up(count, seed):
+    """A third of the rows is one player's on one day, another share has no date, and times repeat."""
+    rng = random.Random(seed)
+    rows = []
+    for tx in range(count):
+        kind = rng.random()
+        if kind < 0.33:
+            player, at = 7, START + timedelta(seconds=rng.randint(0, 600))
+        elif kind < 0.5:
+            player, at = rng.choice([7, 8]), None
+        else:
+            player = rng.choice([7, 8, 9, None, *range(100, 130)])
+            at = START + timedelta(hours=rng.randint(-60, 60))
+        rows.append((tx, player, at, rng.choice(["a", None])))
+    return rows
+
+
+def by_window(df):
+    order = Window.partitionBy("id").orderBy(F.col("at").asc_nulls_last(), F.col("tx").asc_nulls_last())
+    return df.withColumn("before", F.lag("at").over(order))
+
+
+def same(one, other):
+    key = lambda df: sorted(map(str, df.collect()))
+    return key(one) == key(other)
+
+
+@pytest.mark.parametrize("cell_rows", [1, 20, 10**6])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_a_window(spark, cell_rows, seed):
+    df = spark.createDataFrame(made_up(600, seed), SCHEMA).repartition(5)
+    assert same(lag_time(df, "id", "at", "tx", "before", cell_rows), by_window(df))
+
+
+def test_equal_rows(spark):
+    """Rows that nothing tells apart: all but one of them see their own time before them."""
+    df = spark.createDataFrame([(None, 1, START, "a")] * 50 + [(None, None, None, "b")] * 50, SCHEMA)
+    for cell_rows in (10, 1000):
+        found = lag_time(df, "id", "at", "tx", "before", cell_rows)
+        assert sorted((r["before"] is None, r["note"]) for r in found.collect()) == (
+            [(False, "a")] * 49 + [(True, "a")] + [(True, "b")] * 50
+        )
+
+
+def test_nothing(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert lag_time(df, "id", "at", "tx", "before").collect() == []
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_the_row_before_across_sort_partitions(spark, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        rows = [(i, f"n{i}") for i in range(100)]
+        random.Random(1).shuffle(rows)
+        df = spark.createDataFrame(rows, "i long, name string").repartition(7)
+        got = with_previous(df, ["i"], ["name"], "before").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert {r["i"]: r["before"] and r["before"]["name"] for r in got} == {
+        i: f"n{i - 1}" if i else None for i in range(100)
+    }
+
+
+@pytest.mark.parametrize("dated", [True, False])
+def test_a_third_of_the_rows_in_one_cell_is_spread(spark, monkeypatch, dated):
+    """No sort partition gets more than twice its share of the rows of large cells."""
+    count = 8000
+    at = F.when(F.col("tx") % 3 != 0, F.lit(START) + F.make_dt_interval(F.col("tx").cast("int") % 50))
+    if dated:
+        at = F.when(F.col("tx") % 3 == 0, F.lit(START)).otherwise(at)
+    df = spark.range(count).select(
+        F.col("id").alias("tx"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 400).alias("id"),
+    ).withColumn("at", at).withColumn("note", F.lit(""))
+    sizes = []
+    sort = ordering._sorted_slots
+
+    def seen(df, order):
+        found = sort(df, order)
+        sizes.extend(r["n"] for r in found.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
+        return found
+
+    monkeypatch.setattr(ordering, "_sorted_slots", seen)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = lag_time(df, "id", "at", "tx", "before", 500)
+        assert same(found, by_window(df))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) >= count // 3 and len(sizes) == 8
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert lag.CELL_ROWS >= 500
