@@ -90,39 +90,3 @@ def tile(position: Column, total: Column, tiles: int) -> Column:
     return F.when(position <= large_rows, in_large + F.lit(1)).otherwise(
         large_tiles + in_small + F.lit(1)
     )
-
-
-def histogram(df: DataFrame, value: str, **measures: Column) -> DataFrame:
-    """Distinct values of ``value`` with their row counts, sorted and stored once.
-
-    Feed the result to ``lower_median``, and derive other statistics of ``value`` from it
-    too, so that ``df`` is read a single time.
-    """
-    known = df.where(F.col(value).isNotNull())
-    counts = known.groupBy(value).agg(
-        F.count(F.lit(1)).alias("rows"), *[m.alias(name) for name, m in measures.items()]
-    )
-    return _sorted_slots(counts, [F.col(value).asc()])
-
-
-def lower_median(hist: DataFrame, value: str) -> DataFrame:
-    """``percentile_disc(0.5)`` of a ``histogram`` as a one-row frame ``median``.
-
-    The partition sums show which sort partition holds the middle row, and only that one
-    is walked.
-    """
-    middle = F.call_function("div", F.col("_total") + F.lit(1), F.lit(2).cast("bigint"))
-    parts = _parts(hist, F.col("rows"))
-    holder = parts.where(
-        (F.col("_before") < middle) & (F.col("_before") + F.col("_size") >= middle)
-    ).select("_part", "_before", middle.alias("_middle"))
-    so_far = F.sum("rows").over(
-        Window.partitionBy("_part").orderBy("_slot")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        hist.join(F.broadcast(holder), "_part")
-        .withColumn("_reached", F.col("_before") + so_far)
-        .where(F.col("_reached") >= F.col("_middle"))
-        .agg(F.min(value).alias("median"))
-    )

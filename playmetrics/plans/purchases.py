@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.functions.numeric import NARROW, add_up, amount_of, ratio, total
 from playmetrics.operators.distinct import mark, marked, merge
-from playmetrics.operators.ordering import histogram, lower_median, with_position
+from playmetrics.operators.ordering import with_position
+from playmetrics.operators.selection import count_buckets, row_of, value_at
 from playmetrics.plans.players import per_player, positive, users_by
 from playmetrics.schema import GameTables
 
@@ -15,50 +18,49 @@ from playmetrics.schema import GameTables
 def purchase_amount_profile(tables: GameTables) -> DataFrame:
     """Count, sum, extremes, mean, median and sample deviation of positive amounts.
 
-    Everything comes from one histogram of amounts, so purchases are read once. Calling this runs
-    a job that stores the histogram. The deviation sums squares around the rounded mean.
+    Calling this runs two jobs and mostly a third one, each a pass over the amounts that moves a few rows a
+    task: totals first, then counts by amount, which also sum squares around the rounded mean, and
+    more counts if the middle is not found by then.
     """
     scale = tables.amount_scale
     priced = tables.events.where(positive()).select(
         "transaction_id", tables.money().alias("amount")
     )
-    hist = histogram(priced, "amount", transactions=F.count("transaction_id"))
-    amount, rows = F.col("amount"), F.col("rows")
-    totals = hist.agg(
-        F.coalesce(F.sum("transactions"), F.lit(0)).alias("count_transaction"),
-        total(amount, scale, rows).alias("_sum"),
+    amount = F.col("amount")
+    totals = priced.agg(
+        F.count("transaction_id").alias("count_transaction"),
+        total(amount, scale).alias("_sum"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
-        F.sum("rows").alias("_n"),
-    ).withColumn("avg_amount", ratio(F.col("_sum"), F.col("_n"), 2, scale)).withColumn(
-        "sum_amount", amount_of(F.col("_sum"), scale)
-    )
-
-    # of wide amounts, whose mean has few digits before the point, a difference keeps its places
-    mean = F.col("avg_amount") if scale <= NARROW else F.col("avg_amount").cast(
-        f"decimal({max(41 - scale, 4)},2)"
+        F.count("amount").alias("_n"),
+    ).select(
+        "count_transaction",
+        amount_of(F.col("_sum"), scale).alias("sum_amount"),
+        "min_amount",
+        "max_amount",
+        ratio(F.col("_sum"), F.when(F.col("_n") > 0, F.col("_n")), 2, scale).alias("avg_amount"),
+        "_n",
     )
-    off = (amount - mean).cast("double")
-    spread = hist.crossJoin(F.broadcast(totals.select("avg_amount"))).agg(
-        F.sum(off * off * rows).alias("_squares"), F.sum(off * rows).alias("_offset")
-    )
-    n, shift = F.col("_n").cast("double"), F.col("_offset")
-    variance = (F.col("_squares") - shift * shift / n) / (n - F.lit(1.0))
+    found = totals.first()
+    n, low, high = found["_n"], found["min_amount"], found["max_amount"]
+    middle, variance = low, 0.0 if n > 1 else None
+    if low != high:
+        # of wide amounts, whose mean has few digits before the point, a difference keeps its places
+        room = 20 if scale <= NARROW else max(39 - scale, 2)
+        off = (amount - F.lit(found["avg_amount"]).cast(f"decimal({room + 2},2)")).cast("double")
+        rows = count_buckets(priced, "amount", low, high, squares=F.sum(off * off), offset=F.sum(off))
+        middle = value_at(priced, "amount", (n + 1) // 2, rows)
+        shift = math.fsum(r["offset"] for r in rows)
+        squares = math.fsum(r["squares"] for r in rows)
+        variance = max((squares - shift * shift / n) / (n - 1), 0.0)
+    kinds = dict(totals.dtypes)
+    given = {name: (found[name], kinds[name]) for name in totals.columns if name != "_n"}
+    result = row_of(priced, given | {
+        "mid_amount": (middle, kinds["min_amount"]), "_variance": (variance, "double"),
+    })
     # settled at nine decimals, where the order of the sums does not show
-    deviation = F.round(F.when(F.col("_n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))), 9)
-    return (
-        totals.crossJoin(F.broadcast(lower_median(hist, "amount")))
-        .crossJoin(F.broadcast(spread))
-        .select(
-            "count_transaction",
-            "sum_amount",
-            "min_amount",
-            "max_amount",
-            "avg_amount",
-            F.col("median").alias("mid_amount"),
-            F.round(deviation.cast("decimal(38,12)"), 2).alias("stddev_amount"),
-        )
-    )
+    deviation = F.round(F.sqrt("_variance"), 9).cast("decimal(38,12)")
+    return result.withColumn("stddev_amount", F.round(deviation, 2)).drop("_variance")
 
 
 def zero_amount_share(tables: GameTables) -> DataFrame:

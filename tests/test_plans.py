@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from playmetrics import storage
-from playmetrics.operators import ordering
+from playmetrics.operators import lag, ordering
 from playmetrics.plans import frequency, funnel, payers, purchases
 from playmetrics.sources.tables import from_catalog, from_parquet, from_supplied
 from tests.compare import _rows
@@ -60,11 +60,27 @@ def test_filters_and_columns_reach_the_scan(stored):
     (purchases.zero_amount_share, 1),
     (frequency.player_gap_summary, 1),
     (frequency.segment_paying_players, 1),
-    (purchases.purchase_amount_profile, 0),  # read while the histogram is stored
-    (frequency.frequency_segments, 0),  # read while the order is stored
+    (frequency.frequency_segments, 1),
+    (frequency.gap_tiles, 1),
 ])
-def test_purchases_are_read_once(stored, threshold, analysis, times):
-    assert scans(plan(analysis(stored)), "events") == times
+def test_purchases_are_read_once(stored, threshold, monkeypatch, analysis, times):
+    """In the plan of the result and in those of what is stored on the way."""
+    texts = recorded_plans(monkeypatch)
+    found = plan(analysis(stored))
+    assert sum(scans(text, "events") for text in [*texts, found]) == times
+
+
+def recorded_plans(monkeypatch):
+    """The plans of what is stored from now on."""
+    texts = []
+
+    def recorded(df, store=storage.store):
+        texts.append(plan(df))
+        return store(df)
+
+    for module in (frequency, ordering, lag):
+        monkeypatch.setattr(module, "store", recorded)
+    return texts
 
 
 def ran(df):
@@ -95,9 +111,10 @@ def test_items_are_sorted_once_after_storing(stored, threshold):
     assert len(re.findall(r"Sort \[(?!_part)", text)) == 1 and "Sort [row_number" in text
 
 
-def test_gaps_move_each_purchase_once(stored, threshold):
+def test_gaps_move_each_purchase_once(stored, threshold, monkeypatch):
+    texts = recorded_plans(monkeypatch)
     text = plan(frequency.purchase_gaps(stored))
-    assert scans(text, "events") <= 2
+    assert scans(text, "events") == 1 and [scans(t, "events") for t in texts] == [1]
     moved = [
         below for below in _feeds(text, "Exchange hashpartitioning")
         if "Aggregate" not in below[0] and "transaction_id" in "".join(below)
@@ -114,14 +131,7 @@ def test_repeated_ids_are_read_once(spark, tmp_path, monkeypatch, analysis):
     for name in ("users", "race", "items", "events"):
         getattr(game, name).write.parquet(f"{tmp_path}/{name}")
     repeated = from_parquet(spark, str(tmp_path), unique_transactions=False)
-    texts = []
-
-    def recorded(df, store=storage.store):
-        texts.append(plan(df))
-        return store(df)
-
-    monkeypatch.setattr(frequency, "store", recorded)
-    monkeypatch.setattr(ordering, "store", recorded)
+    texts = recorded_plans(monkeypatch)
     found = analysis(repeated, 2) if analysis is not frequency.player_gap_summary else analysis(repeated)
     assert sum(scans(text, "events") for text in [*texts, plan(found)]) == 1
     other = analysis(game, 2) if analysis is not frequency.player_gap_summary else analysis(game)
