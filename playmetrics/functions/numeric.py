@@ -175,10 +175,56 @@ def quotient(numerator: Column, denominator: Column) -> Column:
     return numerator.cast(COUNT) / denominator.cast(COUNT)
 
 
-def whole(value: Column) -> Column:
-    """Round a computed mean to a whole number.
+# Places that a step of a long division of fractions yields.
+_STEP = 18
 
-    The mean is a sum of quotients such as 1/3, each short by less than 1e-18; settling
-    it at 15 decimals first keeps an exact half from falling just below the tie.
+
+def _step(rest: Column, denominator: Column) -> tuple[Column, Column]:
+    """The next ``_STEP`` decimals of a fraction below one, as a whole number, and what is left."""
+    shifted = rest.cast(COUNT) * F.lit(Decimal(10) ** _STEP)
+    return F.call_function("div", shifted, denominator), (shifted % denominator).cast(COUNT)
+
+
+def fractions(numerator: Column, denominator: Column) -> Column:
+    """A fraction of whole numbers as whole part and two times ``_STEP`` decimals, cut off there."""
+    below = denominator.cast(COUNT)
+    above = numerator.cast(_WHOLE)
+    rest = (above % below).cast(COUNT)
+    first, left = _step(rest, below)
+    second, _ = _step(left, below)
+    return F.struct(
+        _exact(above - rest, below).alias("whole"), first.alias("first"), second.alias("second")
+    )
+
+
+def add_fractions(parts: Column) -> Column:
+    """Aggregate: the sum of ``fractions``, by parts, and how many were cut off."""
+    return F.struct(
+        *[F.sum(parts[name].cast(COUNT)).cast(_WHOLE).alias(name) for name in ("whole", "first", "second")],
+        F.count(parts["whole"]).cast(_WHOLE).alias("terms"),
+    )
+
+
+def rounded_mean(sums: Column, weight: Column) -> Column:
+    """A sum of fractions that are not negative, over a whole weight, as a whole number.
+
+    What is cut off is less than one unit of the last of 36 decimals a fraction. The sum is lifted by
+    that much, which settles an exact half; a sum would have to be so close below one, with far larger
+    denominators than there are days, to be settled the same way.
     """
-    return F.round(F.round(value, 15), 0).cast(COUNT)
+    base = F.lit(Decimal(10) ** _STEP)
+    below = weight.cast(COUNT)
+
+    def carried(s: Column) -> Column:
+        second = s["second"] + s["terms"]
+        first = s["first"] + _exact(second - F.pmod(second, base), base)
+        return F.struct(
+            (s["whole"] + _exact(first - F.pmod(first, base), base)).cast(_WHOLE).alias("whole"),
+            F.pmod(first, base).alias("first"),
+        )
+
+    def divided(s: Column) -> Column:
+        half = (s["first"] * F.lit(2) >= base).cast("int").cast(COUNT)
+        return F.call_function("div", s["whole"] * F.lit(2) + below + half, below * F.lit(2)).cast(COUNT)
+
+    return F.when(weight > 0, _let(_let(sums, carried), divided))

@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playmetrics.functions.numeric import COUNT, quotient, ratio, whole
+from playmetrics.functions.numeric import (
+    add_fractions, fractions, quotient, ratio, rounded_mean,
+)
 from playmetrics.operators.distinct import mark, marked, merge
 from playmetrics.operators.lag import lag_time
 from playmetrics.operators.ordering import tile, with_position
+from playmetrics.operators.skew import spread_join
 from playmetrics.plans.players import by_id, per_player, positive
 from playmetrics.schema import GameTables
 from playmetrics.storage import store
@@ -154,32 +157,37 @@ def frequency_segments(
 ) -> DataFrame:
     """Per segment: players, payers, purchases per player and the mean gap.
 
-    The mean gap is weighted by purchases: each player's mean counts once per purchase.
+    The mean gap is weighted by purchases: each player's mean counts once per purchase. Days are added up as
+    whole numbers for each number of gaps first, so that only a few fractions are left to add.
     """
     marks = _stored_marks(tables)
     segments = _labelled(tables, marks, min_transactions, labels)
     known = F.col("id").isNotNull()
     weight = F.when(F.col("gaps").isNotNull(), F.when(known, F.col("rows")).otherwise(1))
-    weighted = quotient(F.col("span").cast(COUNT) * weight, F.col("gaps"))
     players = segments.groupBy("users_group", "id").agg(
         F.max(F.when(known, F.col("count_transactions"))).alias("transactions"),
         F.max("pays").alias("pays"),
         F.min("parts_by_gap").alias("part"),
         F.sum(weight).alias("weight"),
-        F.sum(weighted).alias("weighted"),
+    )
+    days = F.sum(F.col("span").cast("decimal(10,0)") * weight.cast("decimal(20,0)"))
+    by_gaps = segments.where(F.col("gaps").isNotNull()).groupBy("users_group", "gaps").agg(
+        days.alias("days")
+    )
+    means = by_gaps.groupBy("users_group").agg(
+        add_fractions(fractions(F.col("days"), F.col("gaps"))).alias("weighted")
     )
     totals = players.groupBy("users_group").agg(
         F.count("id").alias("count_users"),
         F.count("pays").alias("paying_users"),
         F.coalesce(F.sum("transactions"), F.lit(0)).alias("transactions"),
         F.sum("weight").alias("weight"),
-        F.sum("weighted").alias("weighted"),
         F.min("part").alias("part"),
-    )
+    ).join(means, "users_group", "left")
     if marks is not None:
         members = segments.where(known).select("id", "users_group").distinct()
         recount = (
-            merge(marks.join(members, "id"), ["users_group"])
+            merge(spread_join(marks, members, "id"), ["users_group"])
             .groupBy("users_group")
             .agg(marked().alias("recount"))
         )
@@ -193,6 +201,6 @@ def frequency_segments(
         "paying_users",
         ratio(F.col("paying_users"), users, 2).alias("share_paying_users"),
         ratio(F.col("transactions"), users, 2).alias("count_transaction"),
-        whole(F.col("weighted") / F.col("weight").cast(COUNT)).alias("avg_gap"),
+        rounded_mean(F.col("weighted"), F.col("weight")).alias("avg_gap"),
         "part",
     ).orderBy(F.asc_nulls_last("avg_gap"), "part").drop("part")

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from playmetrics.functions.numeric import add_up, ratio, total
 from playmetrics.operators.distinct import count_distinct, keep_marked, marked, merge
+from playmetrics.operators.skew import spread_join
 from playmetrics.plans.players import (
     buyers, per_player, positive, positive_marks, transacting, users_by,
 )
 from playmetrics.schema import GameTables
+from playmetrics.storage import store
 
 RACE_KEY = ["race_id", "race"]
 
@@ -83,12 +85,15 @@ def _race_totals(tables: GameTables) -> DataFrame:
 
 
 def _with_distinct_purchases(totals: DataFrame, tables: GameTables) -> DataFrame:
-    """``positive`` by distinct transaction id, which makes no difference unless ids repeat."""
+    """``positive`` by distinct transaction id, which makes no difference unless ids repeat.
+
+    Only if they do, a job stores the players' marks, and a player with most of them is split.
+    """
     if tables.transactions_are_unique():
         return totals
     races = tables.users.select("id", "race_id").distinct()
     recount = (
-        merge(positive_marks(tables).join(races, "id"), ["race_id"])
+        merge(spread_join(store(positive_marks(tables)), races, "id"), ["race_id"])
         .groupBy(F.col("race_id").alias("_race_id"))
         .agg(marked().alias("recount"))
     )

@@ -6,7 +6,9 @@ import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
-from playmetrics.functions.numeric import add_up, amount_of, quotient, ratio, total, whole
+from playmetrics.functions.numeric import (
+    add_fractions, add_up, amount_of, fractions, quotient, ratio, rounded_mean, total,
+)
 
 SCHEMA = "a decimal(28,2), b bigint"
 
@@ -46,12 +48,37 @@ def test_quotient_keeps_close_means_apart(spark):
     assert low < high
 
 
-def test_whole_keeps_halves(spark):
-    # three times 5/6 is 2.5, but one unit short in the last place when summed
-    df = spark.createDataFrame([(5, 6)] * 3, "a bigint, b bigint")
-    total = df.agg(F.sum(quotient(F.col("a"), F.col("b"))).alias("s"))
-    assert total.first()["s"] < Decimal("2.5")
-    assert total.select(whole(F.col("s"))).first()[0] == 3
+def _mean(spark, parts, weight):
+    df = spark.createDataFrame([(Decimal(n), d) for n, d in parts], "n decimal(38,0), d bigint")
+    sums = df.agg(add_fractions(fractions(F.col("n"), F.col("d"))).alias("s"))
+    return sums.select(rounded_mean(F.col("s"), F.lit(weight).cast("bigint"))).first()[0]
+
+
+def test_means_of_fractions_keep_halves(spark):
+    # three times 5/6 is 2.5, but short of it in every decimal expansion
+    assert _mean(spark, [(5, 6)] * 3, 1) == 3
+    assert _mean(spark, [(1, 3), (1, 6)], 1) == 1
+    assert _mean(spark, [(1, 7)] * 7 + [(1, 3)] * 3 + [(1, 2)], 1) == 3
+
+
+def test_means_just_below_a_half_are_rounded_down(spark):
+    short = 10**16
+    assert _mean(spark, [(25 * short // 10 - 1, short)], 1) == 2
+    assert _mean(spark, [(25 * short // 10, short)], 1) == 3
+    # 2.5 less a third of the 18th decimal, of which fifteen decimals would show nothing
+    assert _mean(spark, [(5, 6), (5, 6), (833_333_333_333_333_333, 10**18)], 1) == 2
+    # the mean over three
+    assert _mean(spark, [(3 * 25 * short // 10 - 1, short)], 3) == 2
+
+
+def test_means_of_many_fractions(spark):
+    rng = random.Random(2)
+    for _ in range(5):
+        parts = [(rng.randint(0, 10**6), rng.randint(1, 5000)) for _ in range(300)]
+        weight = rng.randint(1, 400)
+        exact = sum(Fraction(n, d) for n, d in parts) / weight
+        assert _mean(spark, parts, weight) == (2 * exact.numerator + exact.denominator) // (2 * exact.denominator)
+    assert _mean(spark, [], 0) is None
 
 
 def _amounts(precision, scale, seed=5):
