@@ -2,21 +2,23 @@
 
 Sources get weights by their rank in code point order, null last, and share a budget of words.
 A target stops at ``MAX_EPOCHS`` times its source's size; what lies above is shared anew by weight.
-Seats are blocks of ``BLOCK_WORDS`` words. The k-th block of a source has the quotient target / (2k -
-1), and every block whose quotient reaches half a block is given out, so the number of blocks is
-what the highest quotients fill. A source's blocks go to its shards the same way, by the shards'
-sizes and with a fixed sum. In a shard the documents lie in seeded order, end to end; cut into blocks,
+Seats are blocks of ``BLOCK_WORDS`` words; sources whose target is less than ``LEAST_BLOCKS`` of those have
+blocks half as long, or a quarter, and so on down to single words. The number of blocks of one length is
+fixed by the targets of the sources that share it, and they go to those sources by the highest quotients
+target / (2k - 1). A source's blocks go to its shards the same way, by the shards' sizes. In a shard the
+documents lie in seeded order, end to end; cut into blocks,
 each block is taken ``quota div blocks`` times, and the remainder falls on blocks that a seeded
 permutation puts first. The mix consists of pieces of documents, some taken more than once.
 
 Every decision depends on ids and sizes only, so reruns agree. Words are runs of characters other
-than ASCII white space. Shards hold about ``SHARD_DOCS`` documents until a source has
-``MAX_SHARDS`` of them; a shard's sizes, not its texts, are sorted by one task. Driver and
+than ASCII white space. A source has a shard for every ``SHARD_DOCS`` documents; a shard's sizes, not its
+texts, are sorted by one task, and one row a shard of a source. Driver and
 broadcasts see no document: sources are a table of their own, and the driver gets their sums.
 
 Nulls and edge cases: a null text has no words. Null is a source, the last in order. Null ids lie
 first in seeded order; rows with the same id lie next to each other. Sources without words get
-nothing. An empty table gives no rows. The number of a row, for columns with clashing names, is
+nothing. An empty table gives no rows. A very long text is counted, and cut, whole by one task; it may be
+larger than a block or a shard. The number of a row, for columns with clashing names, is
 kept in an unused name.
 """
 
@@ -39,8 +41,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2
 BLOCK_WORDS = 128
+# Blocks that a target has at least, unless they would be shorter than a word.
+LEAST_BLOCKS = 32
 SHARD_DOCS = 1000
-MAX_SHARDS = 256
 SEED = "mix-1"
 # Fixed value: a prime above any number of blocks in a shard, so that it permutes them.
 STRIDE = 2_147_483_647
@@ -88,7 +91,7 @@ def targets(
     share: float = SHARE,
     max_epochs: int = MAX_EPOCHS,
 ) -> DataFrame:
-    """``sources`` (``source, source_size, docs``) with ``weight`` and ``target``, stored.
+    """``sources`` (``source, source_size, docs``) with ``number``, ``weight`` and ``target``, stored.
 
     Targets are weight times a common level, or the limit. The level rises as sources reach
     theirs; it takes as many sums over the sources as sources reach their limit in turns.
@@ -96,7 +99,7 @@ def targets(
     ranked = with_position(sources, [F.asc_nulls_last("source")])
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     weight = F.element_at(cycle, ((F.col("position") - 1) % len(weights) + 1).cast("int"))
-    table = store(ranked.withColumn("weight", weight).drop("position"))
+    table = store(ranked.withColumn("weight", weight).withColumnRenamed("position", "number"))
     limit = F.col("source_size") * F.lit(max_epochs)
     level, full = 0.0, -1
     while True:
@@ -116,51 +119,82 @@ def targets(
     )
 
 
-def shard_quotas(shards: DataFrame, block_words: int, max_epochs: int) -> DataFrame:
-    """Blocks per shard: Sainte-Lague by ``words``, summing to ``seats`` of each source.
+def quotas(parties: DataFrame, max_epochs: int) -> DataFrame:
+    """Blocks for the parties of each house by Sainte-Lague, summing to its ``seats``.
 
-    ``shards`` has ``source, shard, words, source_size, seats``. Rounding gives nearly all seats; the
+    ``parties`` has ``house, party, votes, house_votes, seats, blocks``. Rounding gives nearly all seats; the
     few that are left over or too many go to the next highest, or from the lowest quotients. No
-    shard gets more than ``max_epochs`` times its blocks.
+    party gets more than ``max_epochs`` times its blocks.
+
+    Only seats that can change hands are listed. If all quotients were divided by a common number until the
+    seats add up, that number would differ from one by no more than (seats left over + parties) / seats,
+    which limits each party's changes to that share of its seats, and one more.
     """
     whole = lambda c: F.col(c).cast("decimal(38,0)")
-    blocks = _div(F.col("words") + F.lit(block_words - 1), F.lit(block_words).cast("long"))
-    rounded = _div(
-        whole("words") * F.col("seats") * 2 + whole("source_size"), whole("source_size") * 2
-    )
-    first = shards.where(F.col("words") > 0).select(
-        "source", "shard", "words", "seats", blocks.alias("blocks"),
-        F.least(rounded, blocks * max_epochs).alias("base"),
+    exact = isinstance(parties.schema["votes"].dataType, T.IntegralType)
+    share = F.col("votes") / F.col("house_votes") * F.col("seats")
+    rounded = F.floor(share + F.lit(0.5)) if not exact else _div(
+        whole("votes") * F.col("seats") * 2 + whole("house_votes"), whole("house_votes") * 2
     )
-    per_source = Window.partitionBy("source")
-    off = first.withColumn("off", F.col("seats") - F.sum("base").over(per_source))
-    steps = F.sequence(F.lit(1).cast("long"), F.abs("off"))
-    moved = off.where(F.col("off") != 0).select("*", F.explode(steps).alias("k"))
-    seat = F.when(F.col("off") > 0, F.col("base") + F.col("k")).otherwise(
-        F.col("base") - F.col("k") + 1
+    most = F.col("blocks") * max_epochs
+    first = parties.where(F.col("votes") > 0).withColumn("base", F.least(rounded, most))
+    per_house = Window.partitionBy("house")
+    free = F.sum(F.when(F.col("base") < most, share)).over(per_house)
+    off = (
+        first.withColumn("off", F.col("seats") - F.sum("base").over(per_house))
+        .withColumn("parties", F.count(F.lit(1)).over(per_house))
+        .withColumn("free", free)
     )
-    possible = moved.withColumn("seat", seat).where(
-        (F.col("seat") >= 1) & (F.col("seat") <= F.col("blocks") * max_epochs)
-    )
-    quotient = F.col("words") / (F.col("seat") * 2 - 1)
     up = F.col("off") > 0
-    order = [F.when(up, -quotient).otherwise(quotient), F.when(up, F.col("shard")).otherwise(
-        -F.col("shard")
-    ), "seat"]
+    change = (F.abs("off") + F.col("parties")) / F.when(up, F.col("free")).otherwise(F.col("seats"))
+    steps = F.least(F.abs("off"), F.coalesce(F.floor(share * change), F.lit(0)) + 2)
+    moved = off.where(F.col("off") != 0).select(
+        "*", F.explode(F.sequence(F.lit(1).cast("long"), steps.cast("long"))).alias("k")
+    )
+    seat = F.when(up, F.col("base") + F.col("k")).otherwise(F.col("base") - F.col("k") + 1)
+    possible = moved.withColumn("seat", seat).where((F.col("seat") >= 1) & (F.col("seat") <= most))
+    quotient = F.col("votes") / (F.col("seat") * 2 - 1)
+    order = [
+        F.when(up, -quotient).otherwise(quotient),
+        F.when(up, F.col("party")).otherwise(-F.col("party")), "seat",
+    ]
     chosen = (
-        possible.withColumn("place", F.row_number().over(per_source.orderBy(*order)))
+        possible.withColumn("place", F.row_number().over(per_house.orderBy(*order)))
         .where(F.col("place") <= F.abs("off"))
-        .groupBy("source", "shard")
+        .groupBy("house", "party")
         .agg(F.sum(F.when(up, 1).otherwise(-1)).alias("change"))
-        .select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "change")
     )
-    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))
-    return first.join(chosen, same, "left").select(
-        "source", "shard", "blocks",
+    return first.join(chosen, ["house", "party"], "left").select(
+        "house", "party", "blocks",
         (F.col("base") + F.coalesce("change", F.lit(0))).alias("quota"),
     )
 
 
+def _blocks(words: Column, width: Column) -> Column:
+    return _div(words.cast("long") + width - F.lit(1), width)
+
+
+def source_seats(sources: DataFrame, block_words: int, max_epochs: int) -> DataFrame:
+    """``sources`` (``number, source_size, target, ...``) with ``width`` and ``seats``.
+
+    Sources of one block length are a house; its seats are what their targets come to together.
+    """
+    lengths = [block_words >> k for k in range(block_words.bit_length())]
+    fitting = F.filter(
+        F.array(*[F.lit(n).cast("long") for n in lengths]), lambda n: n * LEAST_BLOCKS <= F.col("target")
+    )
+    sized = sources.withColumn("width", F.coalesce(F.get(fitting, F.lit(0)), F.lit(lengths[-1]).cast("long")))
+    same = Window.partitionBy("width")
+    parties = sized.select(
+        F.col("width").alias("house"), F.col("number").alias("party"), F.col("target").alias("votes"),
+        F.sum("target").over(same).alias("house_votes"),
+        F.floor(F.sum("target").over(same) / F.col("width") + F.lit(0.5)).alias("seats"),
+        _blocks(F.col("source_size"), F.col("width")).alias("blocks"),
+    )
+    given = quotas(parties, max_epochs).select(F.col("party").alias("number"), F.col("quota").alias("seats"))
+    return sized.join(given, "number", "left").withColumn("seats", F.coalesce("seats", F.lit(0)))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -187,14 +221,10 @@ def mix(
         ),
         weights, share, max_epochs,
     )
-    n_shards = F.least(
-        F.lit(MAX_SHARDS).cast("long"), F.ceil(F.col("docs") / F.lit(SHARD_DOCS))
-    )
-    # the highest quotients: all with target / (2k - 1) >= block / 2
-    seats = F.floor(F.col("target") / F.lit(float(block_words)) + F.lit(0.5))
-    plans = store(sources.select(
-        F.col("source").alias("_source"), "source_size", "target", n_shards.alias("n_shards"),
-        seats.alias("seats"),
+    n_shards = F.ceil(F.col("docs") / F.lit(SHARD_DOCS))
+    plans = store(source_seats(sources, block_words, max_epochs).select(
+        F.col("source").alias("_source"), "number", "source_size", "target", "width", "seats",
+        n_shards.alias("n_shards"),
     ))
     placed = (
         sizes.withColumn("order", order)
@@ -202,25 +232,25 @@ def mix(
         .withColumn("shard", F.pmod(F.col("order"), F.col("n_shards")))
         .drop("_source")
     )
-    totals = placed.groupBy("source", "shard").agg(
-        F.sum("size").alias("words"),
-        F.first("source_size").alias("source_size"),
-        F.first("seats").alias("seats"),
-    )
-    quotas = store(
-        shard_quotas(totals, block_words, max_epochs)
-        .withColumnRenamed("source", "_source").withColumnRenamed("shard", "_shard")
+    totals = placed.groupBy("number", "shard").agg(
+        F.sum("size").alias("votes"),
+        F.first("source_size").alias("house_votes"),
+        F.first("seats").cast("long").alias("seats"),
+        F.first("width").alias("width"),
+    ).withColumn("blocks", _blocks(F.col("votes"), F.col("width")))
+    shards = store(
+        quotas(totals.withColumnRenamed("number", "house").withColumnRenamed("shard", "party"), max_epochs)
+        .select(F.col("house").alias("number"), F.col("party").alias("shard"), "blocks", "quota")
     )
     before = (
-        Window.partitionBy("source", "shard")
+        Window.partitionBy("number", "shard")
         .orderBy("order", F.asc_nulls_first("doc_id"), "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     begin = F.coalesce(F.sum("size").over(before), F.lit(0))
-    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))
-    laid = placed.withColumn("begin", begin).join(quotas, same, "left")
+    laid = placed.withColumn("begin", begin).join(shards, ["number", "shard"], "left")
 
-    width = F.lit(block_words).cast("long")
+    width = F.col("width")
     start, end = F.col("begin"), F.col("begin") + F.col("size")
     offset = F.pmod(F.col("shard") * F.lit(31) + F.lit(7), F.col("blocks"))
 

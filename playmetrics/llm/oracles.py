@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playmetrics.llm import mixing, url_filter
+from playmetrics.llm import url_filter
 from playmetrics.llm.queries import PROBE, URL_RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,83 +38,94 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM d WINDOW same AS (PARTITION BY norm)"""
 
 
+def _quota_sql(name: str, parties: str) -> str:
+    """Sainte-Lague for every house: rounded shares, then single seats by quotient."""
+    return f"""
+{name}_based AS (
+  SELECT *, least(floor(votes / house_votes * seats + 0.5), 2 * blocks)::BIGINT AS base
+  FROM {parties} WHERE votes > 0),
+{name}_off AS (SELECT *, (seats - sum(base) OVER (PARTITION BY house))::BIGINT AS gap FROM {name}_based),
+{name}_offers AS (
+  SELECT *, CASE WHEN gap > 0 THEN base + k ELSE base - k + 1 END AS seat
+  FROM (SELECT *, unnest(range(1, abs(gap) + 1)) AS k FROM {name}_off WHERE gap <> 0)),
+{name}_ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY house
+    ORDER BY CASE WHEN gap > 0 THEN -1 ELSE 1 END * (votes::DOUBLE / (2 * seat - 1)::DOUBLE),
+             CASE WHEN gap > 0 THEN party ELSE -party END, seat) AS place
+  FROM {name}_offers WHERE seat >= 1 AND seat <= 2 * blocks),
+{name}_moves AS (
+  SELECT house, party, sum(sign(gap)) AS change FROM {name}_ranked WHERE place <= abs(gap) GROUP BY ALL),
+{name} AS (
+  SELECT o.house, o.party, o.blocks, (o.base + coalesce(m.change, 0))::BIGINT AS quota
+  FROM {name}_off o LEFT JOIN {name}_moves m USING (house, party))"""
+
+
 def _mix_sql() -> str:
-    """Targets from sorted ratios instead of rounds; shards and blocks by the same arithmetic."""
-    width, epochs = mixing.BLOCK_WORDS, mixing.MAX_EPOCHS
+    """Targets from sorted ratios instead of rounds; blocks of 128 words or less, shards of 1,000 documents."""
     return f"""
 WITH docs AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n,
-         {[float(w) for w in mixing.WEIGHTS]}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1]::DOUBLE
-           AS weight
+         row_number() OVER (ORDER BY source NULLS LAST) AS number,
+         [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
   FROM docs GROUP BY source),
 full_first AS (
-  SELECT {epochs} * source_size / weight AS ratio,
-         sum({epochs} * source_size) OVER up AS taken,
+  SELECT 2 * source_size / weight AS ratio,
+         sum(2 * source_size) OVER up AS taken,
          sum(weight) OVER () - sum(weight) OVER up AS free,
-         lead({epochs} * source_size / weight) OVER (ORDER BY {epochs} * source_size / weight, source)
-           AS next_ratio
+         lead(2 * source_size / weight) OVER (ORDER BY 2 * source_size / weight, source) AS next_ratio
   FROM sources
-  WINDOW up AS (ORDER BY {epochs} * source_size / weight, source ROWS UNBOUNDED PRECEDING)),
+  WINDOW up AS (ORDER BY 2 * source_size / weight, source ROWS UNBOUNDED PRECEDING)),
 levels AS (
-  SELECT {mixing.SHARE} * (SELECT sum(source_size) FROM sources) / sum(weight) AS level,
-         0.0 AS above, min({epochs} * source_size / weight) AS below FROM sources
+  SELECT 1.5 * (SELECT sum(source_size) FROM sources) / sum(weight) AS level,
+         0.0 AS above, min(2 * source_size / weight) AS below FROM sources
   UNION ALL
-  SELECT ({mixing.SHARE} * (SELECT sum(source_size) FROM sources) - taken) / free, ratio, next_ratio
+  SELECT (1.5 * (SELECT sum(source_size) FROM sources) - taken) / free, ratio, next_ratio
   FROM full_first WHERE free > 0),
 planned AS (
-  SELECT source, source_size, n, least(weight * l.level, ({epochs} * source_size)::DOUBLE) AS target
+  SELECT source, number, source_size, n, least(weight * l.level, (2 * source_size)::DOUBLE) AS target
   FROM sources,
        (SELECT min(level) AS level FROM levels WHERE level >= above AND level <= below) l),
+widths AS (
+  SELECT *, coalesce(list_filter([128, 64, 32, 16, 8, 4, 2, 1], lambda w: w * 32 <= target)[1], 1)::BIGINT
+    AS width FROM planned),
+source_parties AS (
+  SELECT width AS house, number AS party, target AS votes, sum(target) OVER same AS house_votes,
+         floor(sum(target) OVER same / width + 0.5)::BIGINT AS seats,
+         (source_size + width - 1) // width AS blocks
+  FROM widths WINDOW same AS (PARTITION BY width)),
+{_quota_sql("source_quotas", "source_parties")},
 plans AS (
-  SELECT *, floor(target / {float(width)} + 0.5)::HUGEINT AS seats,
-         least({mixing.MAX_SHARDS}, ceil(n / {mixing.SHARD_DOCS}))::BIGINT AS n_shards FROM planned),
+  SELECT w.*, coalesce(q.quota, 0) AS seats, ceil(n / 1000)::BIGINT AS n_shards
+  FROM widths w LEFT JOIN source_quotas q ON q.party = w.number),
 placed AS (
-  SELECT d.*, p.source_size, p.target, p.seats, d.h % p.n_shards AS shard
+  SELECT d.*, p.number, p.source_size, p.target, p.seats, p.width, d.h % p.n_shards AS shard
   FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source),
-shards AS (
-  SELECT source, shard, sum(size)::HUGEINT AS words, any_value(seats) AS seats,
-         any_value(source_size) AS source_size
-  FROM placed GROUP BY ALL HAVING sum(size) > 0),
-based AS (
-  SELECT *, (words + {width - 1}) // {width} AS blocks,
-         least((2 * words * seats + source_size) // (2 * source_size),
-               {epochs} * ((words + {width - 1}) // {width})) AS base
-  FROM shards),
-missing AS (SELECT *, (seats - sum(base) OVER (PARTITION BY source))::BIGINT AS gap FROM based),
-steps AS (SELECT *, unnest(range(1, abs(gap) + 1)) AS k FROM missing WHERE gap <> 0),
-offers AS (
-  SELECT *, CASE WHEN gap > 0 THEN base + k ELSE base - k + 1 END AS seat FROM steps),
-ranked AS (
-  SELECT *, row_number() OVER (
-    PARTITION BY source
-    ORDER BY CASE WHEN gap > 0 THEN -1 ELSE 1 END * (words::DOUBLE / (2 * seat - 1)::DOUBLE),
-             CASE WHEN gap > 0 THEN shard ELSE -shard END, seat) AS place
-  FROM offers WHERE seat >= 1 AND seat <= {epochs} * blocks),
-moves AS (
-  SELECT source, shard, sum(sign(gap)) AS change FROM ranked WHERE place <= abs(gap) GROUP BY ALL),
-quotas AS (
-  SELECT m.source, m.shard, m.blocks::BIGINT AS blocks,
-         (m.base + coalesce(v.change, 0))::BIGINT AS quota
-  FROM missing m LEFT JOIN moves v ON m.source IS NOT DISTINCT FROM v.source AND m.shard = v.shard),
+shard_parties AS (
+  SELECT number AS house, shard AS party, sum(size)::BIGINT AS votes, any_value(source_size) AS house_votes,
+         any_value(seats) AS seats,
+         (sum(size)::BIGINT + any_value(width) - 1) // any_value(width) AS blocks
+  FROM placed GROUP BY ALL),
+{_quota_sql("shard_quotas", "shard_parties")},
 laid AS (
   SELECT *, coalesce(sum(size) OVER (
-    PARTITION BY source, shard ORDER BY h, doc_id NULLS FIRST, size
+    PARTITION BY number, shard ORDER BY h, doc_id NULLS FIRST, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM placed),
 cut AS (
-  SELECT *, unnest(range(start // {width}, (start + size - 1) // {width} + 1)) AS block
+  SELECT *, unnest(range(start // width, (start + size - 1) // width + 1)) AS block
   FROM laid WHERE size > 0),
 counted AS (
   SELECT c.doc_id, sum(
-    (least((block + 1) * {width}, start + size) - greatest(block * {width}, start))
-    * (quota // blocks + ((block * {mixing.STRIDE} + (c.shard * 31 + 7) % blocks) % blocks
+    (least((block + 1) * width, start + size) - greatest(block * width, start))
+    * (quota // blocks + ((block * 2147483647 + (c.shard * 31 + 7) % blocks) % blocks
                           < quota % blocks)::INTEGER))::BIGINT AS taken
-  FROM cut c JOIN quotas q ON c.source IS NOT DISTINCT FROM q.source AND c.shard = q.shard
+  FROM cut c JOIN shard_quotas q ON c.number = q.house AND c.shard = q.party
   GROUP BY c.doc_id)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken
 FROM placed LEFT JOIN counted USING (doc_id)"""

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from fractions import Fraction
 
 import pytest
@@ -58,8 +59,64 @@ def test_targets_and_taken(spark, seed):
         assert 0 <= r["taken"] <= 2 * r["size"]
         assert r["taken"] == sum((p["after"] - p["first"]) * p["times"] for p in r["pieces"])
         taken[r["source"]] += r["taken"]
+    shards = Counter(source for *_, source in rows)
     for source, target in wanted.items():
-        assert abs(taken[source] - target) <= 2.5 * mixing.BLOCK_WORDS, source
+        # a block for the source's seats, and the short last block of each shard, which counts twice at most
+        off = 1 + 2 * -(-shards[source] // 1000)
+        assert abs(taken[source] - target) <= off * width(target) + 1, source
+
+
+def width(target):
+    return next((w for w in (128, 64, 32, 16, 8, 4, 2) if w * 32 <= target), 1)
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": [30], "b": [6000]}, {"a": [5], "b": [30], "c": [50_000]}, {"a": [1], "b": [1], "c": [1], "d": [1] * 9},
+    {"a": [3] * 40, "b": [700], "c": [0], None: [2]},
+])
+def test_small_sources_come_near_their_targets(spark, sizes):
+    """A source of one document of some words is taken to within a block, which is a word or a few."""
+    rows = [(i, " ".join(["w"] * n), "en", source)
+            for i, (source, n) in enumerate((s, n) for s, all_ in sizes.items() for n in all_)]
+    mixed = mixing.mix(documents(spark, rows)).collect()
+    wanted = expected_targets(by_source(rows))
+    taken = Counter()
+    for r in mixed:
+        assert r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+    for source, target in wanted.items():
+        assert abs(taken[source] - target) <= 2 * width(target) + 1, source
+    assert not wanted.get("a") or taken["a"]
+
+
+def test_blocks_of_one_length_add_up_to_their_targets(spark):
+    """The number of blocks is fixed by the targets together, whatever rounding makes of each."""
+    rng = random.Random(6)
+    targets = [rng.uniform(5000, 9000) for _ in range(40)] + [rng.uniform(20, 63) for _ in range(60)]
+    sources = spark.createDataFrame(
+        [(i + 1, int(t), t) for i, t in enumerate(targets)], "number long, source_size long, target double"
+    )
+    got = {r["number"]: r for r in mixing.source_seats(sources, 128, 2).collect()}
+    for w in {width(t) for t in targets}:
+        own = [i for i, t in enumerate(targets) if width(t) == w]
+        seats = [got[i + 1]["seats"] for i in own]
+        assert all(got[i + 1]["width"] == w for i in own)
+        house = int(sum(targets[i] for i in own) / w + 0.5)
+        limits = [2 * -(-int(targets[i]) // w) for i in own]
+        assert sum(seats) == house
+        assert seats == highest_quotients([targets[i] for i in own], house, limits)
+
+
+def test_shards_grow_with_a_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_DOCS", 2)
+    stored = []
+    store = mixing.store
+    monkeypatch.setattr(mixing, "store", lambda df: stored.append(store(df)) or stored[-1])
+    rows = [(i, "w " * 300, "en", "hot") for i in range(700)]
+    mixed = mixing.mix(documents(spark, rows)).agg(F.sum("taken")).first()[0]
+    shards = next(df for df in stored if df.columns == ["number", "shard", "blocks", "quota"])
+    assert shards.count() > 300
+    assert abs(mixed - 1.5 * 700 * 300) <= 350 * 128
 
 
 def test_reruns_and_partitions_agree(spark):
@@ -79,7 +136,7 @@ def highest_quotients(words, seats, limits):
         open_ = [i for i in range(len(words)) if held[i] < limits[i]]
         if not open_:
             break
-        best = max(open_, key=lambda i: (Fraction(words[i], 2 * held[i] + 1), -i))
+        best = max(open_, key=lambda i: (Fraction(words[i]) / (2 * held[i] + 1), -i))
         held[best] += 1
     return held
 
@@ -88,20 +145,33 @@ def highest_quotients(words, seats, limits):
 def test_quotas_are_those_of_the_highest_quotients(spark, seed):
     rng = random.Random(seed)
     rows, expected = [], {}
-    for source in ("a", "b", None):
+    for house in (1, 2, 3):
         words = [rng.randint(1, 4000) for _ in range(rng.randint(1, 40))]
         size = sum(words)
         seats = rng.randint(0, 2 * size // 128)
-        rows += [(source, i, w, size, seats) for i, w in enumerate(words)]
+        rows += [(house, i, w, size, seats, -(-w // 128)) for i, w in enumerate(words)]
         limits = [2 * -(-w // 128) for w in words]
-        expected |= {(source, i): q for i, q in enumerate(highest_quotients(words, seats, limits))}
-    shards = spark.createDataFrame(
-        rows, "source string, shard long, words long, source_size long, seats long"
+        expected |= {(house, i): q for i, q in enumerate(highest_quotients(words, seats, limits))}
+    parties = spark.createDataFrame(
+        rows, "house long, party long, votes long, house_votes long, seats long, blocks long"
     )
-    got = {(r["source"], r["shard"]): r["quota"] for r in mixing.shard_quotas(shards, 128, 2).collect()}
+    got = {(r["house"], r["party"]): r["quota"] for r in mixing.quotas(parties, 2).collect()}
     assert got == expected
 
 
+@pytest.mark.parametrize("small", [0.4, 0.6])
+def test_one_large_party_among_many_small_ones(spark, small):
+    """Rounding leaves many seats to one party, or takes them from it: they all have to be listed."""
+    votes = [10_000 * small] * 300 + [2_000_000.0]
+    house = int(sum(votes) / 10_000 + 0.5)
+    parties = spark.createDataFrame(
+        [(1, i, v, sum(votes), house, 10**6) for i, v in enumerate(votes)],
+        "house long, party long, votes double, house_votes double, seats long, blocks long",
+    )
+    got = [r["quota"] for r in sorted(mixing.quotas(parties, 2).collect(), key=lambda r: r["party"])]
+    assert got == highest_quotients(votes, house, [2 * 10**6] * 301)
+
+
 def test_mixed_documents_hold_the_taken_words(spark):
     rows = corpus(4, 300)
     df = documents(spark, rows)
