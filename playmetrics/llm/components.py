@@ -1,7 +1,9 @@
 """Connected components by alternating large and small stars.
 
-Every round is a pair of group-wise minima and joins, so no component meets in one task, and the
-number of rounds grows with the logarithm of the longest path. Each round is stored.
+Every round is a pair of group-wise minima, which combine on the map side, and joins of edges with those
+by node, in which a node with very many edges is split. So no component meets in one task, nor does a
+star around its centre. The number of rounds grows with the logarithm of the longest path. Each half
+of a round is stored.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playmetrics.operators.skew import spread_join
 from playmetrics.storage import store
 
 
@@ -22,12 +25,14 @@ def _oriented(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the least of the node and its neighbours."""
+    """Link every larger neighbour of a node to the least of the node and its neighbours.
+
+    ``edges`` is read several times, and so is that of ``_small_star``.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("least"))
     return (
-        both.where(F.col("b") > F.col("a"))
-        .join(least, "a")
+        spread_join(both.where(F.col("b") > F.col("a")), least, "a")
         .select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
     )
 
@@ -35,7 +40,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    moved = spread_join(edges, least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.select("a", F.col("least").alias("b")))
 
 
@@ -52,7 +57,7 @@ def components(edges: DataFrame) -> DataFrame:
     current = store(_oriented(edges))
     seen = _signature(current)
     while True:
-        current = store(_oriented(_small_star(_oriented(_large_star(current)))))
+        current = store(_oriented(_small_star(store(_oriented(_large_star(current))))))
         now = _signature(current)
         if now == seen:
             break

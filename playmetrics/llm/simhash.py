@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from playmetrics.llm.components import components
 from playmetrics.llm.frames import unused_name
+from playmetrics.operators.skew import spread_join
 from playmetrics.storage import store
 
 SHINGLE = 4
@@ -41,7 +42,8 @@ RADIUS = 4
 SEED = 42
 BITS = 64
 # Runs of bits that two near fingerprints must share to be compared. With 2 of 6 runs a key
-# has 21 bits.
+# has 21 bits: some 500 fingerprints share it at a billion distinct ones. With 3 of 7 it has 27, and 35
+# keys a fingerprint, which pays from there on; results are the same.
 KEEP = 2
 # Fingerprints compared in one piece.
 BLOCK = 8192
@@ -325,11 +327,11 @@ def near_duplicates(
     """
     found = store(fingerprints(docs, id_col, text_col, shingle))
     distinct = store(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    grouped = components(links(distinct, radius, keep)).withColumnRenamed("node", "fp")
+    grouped = store(components(links(distinct, radius, keep)).withColumnRenamed("node", "fp"))
     least = (
         grouped.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     )
-    linked = grouped.join(least, "root").select("fp", "component_id")
+    linked = spread_join(grouped, least, "root").select("fp", "component_id")
     # stored, so that the last join has plain shuffles on both sides and hot fingerprints are split
     per_fp = store(distinct.join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id")

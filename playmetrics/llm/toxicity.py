@@ -6,7 +6,9 @@ training these likelihoods come out of fold: the rows of a fold are judged by a
 never saw them, so that a later model does not learn to trust an overfitted one.
 
 Models are fitted on a bounded sample of labelled documents, about ``SAMPLE_DOCS`` by a hash of the
-id, however large the corpus; every fold's model is a task of its own. All documents are judged.
+id, however large the corpus. Spark counts the sample's features by fold and class and finds those that
+any fold's model can use; only these go to the tasks that fit, one for each fold's model. All
+documents are judged.
 
 A feature is a lower-cased word, or the first 4, 5 or 6 letters of a longer one, as a 63-bit
 hash; a text has it or has not. A model keeps the features that differ significantly
@@ -30,15 +32,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from playmetrics.storage import store
 
-SAMPLE_DOCS = 6_000
+SAMPLE_DOCS = 12_000
 FOLDS = 5
 BEGINNINGS = (4, 5, 6)
 LEAST_CHI2 = 30.0
 LEAST_DOCS = 3
 MAX_FEATURES = 2_000
+# Features that Spark passes on beyond those, as its arithmetic may differ in the last place.
+_SPARE = 100
 THRESHOLD = 0.5
 _STEPS = 300
 _PENALTY = 1e-3
@@ -84,17 +89,6 @@ def _select(places: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sort(chosen[np.lexsort((chosen, -chi2[chosen]))][:MAX_FEATURES])
 
 
-def _frequent(lists: Sequence[np.ndarray]) -> list[np.ndarray]:
-    """The lists without features that are surely in fewer than ``LEAST_DOCS`` of them.
-
-    Counts are kept by the low bits of the hash, so some rare features stay; it saves memory.
-    """
-    counts = np.zeros(1 << 22, np.int32)
-    for found in lists:
-        np.add.at(counts, found & (len(counts) - 1), 1)
-    return [found[counts[found & (len(counts) - 1)] >= LEAST_DOCS] for found in lists]
-
-
 def fit(lists: Sequence[np.ndarray], earlier: np.ndarray, y: np.ndarray) -> Model:
     """Logistic regression with a ridge penalty: weights by feature number.
 
@@ -103,7 +97,6 @@ def fit(lists: Sequence[np.ndarray], earlier: np.ndarray, y: np.ndarray) -> Mode
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return {_CONSTANT: float(_logit(np.array(share)))}
-    lists = _frequent(lists)
     seen, places = np.unique(np.concatenate(lists), return_inverse=True)
     rows = np.repeat(np.arange(len(y)), [len(x) for x in lists])
     chosen = _select(places, rows, y)
@@ -218,24 +211,75 @@ def _fitter(name: str, earlier: Sequence[str]):
     return run
 
 
+def useful_features(sample: DataFrame, name: str, models: Sequence[int], folds: int) -> DataFrame:
+    """``feature`` of all that the model of any fold in ``models`` may choose for a category.
+
+    A model learns from all folds but its own, so counts by fold serve them all. No more than
+    ``MAX_FEATURES`` and some for each model come out.
+    """
+    known = sample.where(F.col(name).isNotNull())
+    in_fold = lambda f: F.col("fold") == f
+    by_fold = known.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(name).alias("positive")).collect()
+    size = {r["fold"]: (r["n"], r["positive"]) for r in by_fold}
+    counts = known.select("fold", name, F.explode("found").alias("feature")).groupBy("feature").agg(
+        *[F.count_if(in_fold(f)).alias(f"has_{f}") for f in range(folds)],
+        *[F.count_if(in_fold(f) & (F.col(name) == 1)).alias(f"both_{f}") for f in range(folds)],
+    )
+
+    def chi2(model: int) -> Column:
+        """NULL for a feature that the model cannot choose."""
+        own = [f for f in range(folds) if f != model]
+        n = float(sum(size.get(f, (0, 0))[0] for f in own))
+        positive = float(sum(size.get(f, (0, 0))[1] for f in own))
+        if not 0 < positive < n:
+            return F.lit(None).cast("double")
+        has = sum((F.col(f"has_{f}") for f in own[1:]), F.col(f"has_{own[0]}")).cast("double")
+        both = sum((F.col(f"both_{f}") for f in own[1:]), F.col(f"both_{own[0]}")).cast("double")
+        expected = has * F.lit(positive / n)
+        spread = expected * F.lit(1 - positive / n) * (F.lit(1.0) - has / F.lit(n))
+        value = (both - expected) * (both - expected) / spread
+        return F.when((spread > 0) & (has >= LEAST_DOCS), value)
+
+    scores = counts.select("feature", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), chi2(m).alias("chi2")) for m in models
+    ])).alias("s")).where(F.col("s.chi2") >= LEAST_CHI2 * (1 - 1e-9))
+    best = Window.partitionBy("s.model").orderBy(F.desc("s.chi2"), "feature")
+    chosen = scores.withColumn("place", F.row_number().over(best))
+    return chosen.where(F.col("place") <= MAX_FEATURES + _SPARE).select("feature").distinct()
+
+
+def _narrowed(sample: DataFrame, name: str, models: Sequence[int], folds: int) -> DataFrame:
+    """``sample`` with only the features that matter for a category."""
+    # a bounded number of features, see above
+    chosen = F.broadcast(useful_features(sample, name, models, folds))
+    found = (
+        sample.select("row", F.explode("found").alias("feature")).join(chosen, "feature", "left_semi")
+        .groupBy("row").agg(F.sort_array(F.collect_list("feature")).alias("found"))
+    )
+    none = F.array().cast("array<bigint>")
+    return sample.drop("found").join(found, "row", "left").withColumn("found", F.coalesce("found", none))
+
+
 def train(sample: DataFrame, names: Sequence[str], folds: int = FOLDS) -> list[Model]:
     """The chain's models, one per category in order. Only weights reach the driver."""
     chain: list[Model] = []
+    judged = sample.select("row")
     for k, name in enumerate(names):
         # the last category is nobody's input, so it needs no models by fold
         models = range(-1, folds) if k + 1 < len(names) else [-1]
-        dealt = sample.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
+        rows = _narrowed(sample, name, models, folds).join(judged, "row")
+        dealt = rows.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
         fitted = store(dealt.groupBy("model").applyInArrow(
             _fitter(name, names[:k]), "model int, feature bigint, row bigint, value double"
         ))
         weights = fitted.where((F.col("model") == -1) & F.col("feature").isNotNull())
         found = {r["feature"]: r["value"] for r in weights.collect()}
         chain.append(found or {_CONSTANT: float(_logit(np.array(0.0)))})
-        out_of_fold = fitted.where(F.col("row").isNotNull()).select(
-            "row", F.col("value").alias(f"p_{name}")
-        )
         if k + 1 < len(names):
-            sample = store(sample.join(out_of_fold, "row"))
+            out_of_fold = fitted.where(F.col("row").isNotNull()).select(
+                "row", F.col("value").alias(f"p_{name}")
+            )
+            judged = store(judged.join(out_of_fold, "row"))
     return chain
 
 

@@ -132,3 +132,43 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in found.collect()}
     expected = {i: 0 for i in range(41)} | {1000 + i: 1000 for i in range(31)} | {2000 + i: 2000 for i in range(17)}
     assert got == expected
+
+
+def test_a_star_is_one_component(spark):
+    """A centre with 20,000 leaves, one of which has leaves of its own; the centre is not the least."""
+    leaves = spark.range(20_000).select((F.col("id") + 1000).alias("a"), F.lit(500).cast("long").alias("b"))
+    more = spark.range(100).select(F.lit(1007).cast("long").alias("a"), F.col("id").alias("b"))
+    pair = spark.createDataFrame([(90_000, 90_001)], "a long, b long")
+    found = {r["node"]: r["root"] for r in components(leaves.unionByName(more).unionByName(pair)).collect()}
+    assert len(found) == 20_103
+    assert {n: r for n, r in found.items() if r} == {90_000: 90_000, 90_001: 90_000}
+
+
+def test_a_star_is_spread_over_tasks(spark, monkeypatch):
+    """The join of a star's edges with the least neighbours: no task has five times the median's rows."""
+    from playmetrics.llm import components as module
+    sizes = []
+    join = module.spread_join
+
+    def seen(many, few, key):
+        found = join(many, few, key)
+        counts = found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        sizes.append(sorted(r["n"] for r in counts))
+        return found
+
+    monkeypatch.setattr(module, "spread_join", seen)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    edges = spark.range(20_000).select((F.col("id") + 1).alias("a"), F.lit(0).cast("long").alias("b"))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        assert components(edges).select("root").distinct().collect()[0]["root"] == 0
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    large = [s for s in sizes if sum(s) >= 20_000]
+    assert large and all(len(s) == 20 and s[-1] <= 5 * s[10] for s in large)

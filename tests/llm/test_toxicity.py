@@ -101,3 +101,48 @@ def test_supplied_labels(spark):
     caught = [r["toxic"] for r in pairs if r["label"] == 1]
     wrong = [r["toxic"] for r in pairs if r["label"] == 0]
     assert sum(caught) / len(caught) >= 0.9 and sum(wrong) / len(wrong) <= 0.002
+
+
+@pytest.mark.parametrize("sample_docs", [toxicity.SAMPLE_DOCS, 1500])
+def test_labels_held_out_of_the_supplied_table(spark, sample_docs):
+    """A fifth of the labels is never learned; with the smaller sample, most of the others are not either."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    known = labels.where("doc_id % 5 <> 0")
+    categories = toxicity_chain()
+    sample = toxicity.labelled_sample(docs, known, categories, sample_docs=sample_docs)
+    assert (sample.count() < known.count() / 1.5) == (sample_docs == 1500)
+    chain = toxicity.learn(docs, known, categories, sample_docs=sample_docs)
+    unseen = docs.join(labels.where("doc_id % 5 = 0").select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    found = toxicity.classify(unseen, chain, list(categories)).join(unseen.select("doc_id", "label"), "doc_id").collect()
+    caught = [r["p_toxic"] >= 0.5 for r in found if r["label"] == 1]
+    wrong = [r["p_toxic"] >= 0.5 for r in found if r["label"] == 0]
+    least = 0.85 if sample_docs > 1500 else 0.75
+    assert len(caught) > 50 and sum(caught) / len(caught) >= least and sum(wrong) / len(wrong) <= 0.01
+
+
+def test_features_passed_on_are_those_that_models_choose(spark):
+    """Spark's counts by fold and class against a count by hand, for the model of every fold."""
+    rows, labels = corpus(4, 400)
+    sample = toxicity.labelled_sample(documents(spark, rows), label_frame(spark, labels), toxicity_chain())
+    table = sample.toArrow()
+    fold = table.column("fold").to_numpy()
+    lists = [x.as_py() for x in table.column("found").combine_chunks()]
+    y = table.column("junk").to_numpy()
+    models, expected = range(-1, toxicity.FOLDS), set()
+    for model in models:
+        own = np.flatnonzero(fold != model)
+        n, positive = len(own), y[own].sum()
+        has, both = {}, {}
+        for i in own:
+            for f in lists[i]:
+                has[f] = has.get(f, 0) + 1
+                both[f] = both.get(f, 0) + int(y[i])
+        for f, h in has.items():
+            spread = h * positive / n * (1 - positive / n) * (1 - h / n)
+            if h >= toxicity.LEAST_DOCS and spread > 0:
+                if (both[f] - h * positive / n) ** 2 / spread >= toxicity.LEAST_CHI2:
+                    expected.add(f)
+    found = {r["feature"] for r in toxicity.useful_features(sample, "junk", models, toxicity.FOLDS).collect()}
+    assert found == expected and found
