@@ -68,6 +68,8 @@ class GameTables:
     joined to find repeats across players. It is ``True`` where the table's owner guarantees the
     key, and ``None`` where it has to be checked; the check is a job that reads one column and runs
     at most once per instance, so share one among several analyses.
+
+    ``user_columns`` names further columns of ``users`` to keep, by which players can be grouped.
     """
 
     users: DataFrame
@@ -76,10 +78,12 @@ class GameTables:
     events: DataFrame
     unique_transactions: bool | None = None
     amount_scale: int = 2
+    user_columns: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         for name, columns in COLUMNS.items():
-            setattr(self, name, conform(getattr(self, name), columns))
+            more = dict.fromkeys(self.user_columns) if name == "users" else {}
+            setattr(self, name, conform(getattr(self, name), more | columns))
         for key, one, other in SHARED_KEYS:
             kinds = [_types(getattr(self, table))[key] for table in (one, other)]
             if kinds[0] == kinds[1]:

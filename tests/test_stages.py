@@ -1,0 +1,109 @@
+"""Several stages of the funnel from one pass, and the funnel by other columns of users."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from playmetrics import storage
+from playmetrics.plans import funnel, payers, purchases
+from playmetrics.schema import GameTables
+from playmetrics.sources.tables import from_parquet, from_supplied
+from tests.compare import _rows
+from tests.fixture_data import tables
+from tests.test_plans import plan, scans
+
+NAMES = (
+    "race_all_users", "race_purchasers", "race_paying_purchasers", "race_paying_share", "race_activity",
+    "race_funnel",
+)
+
+
+def same(one, other):
+    assert one.columns == other.columns
+    assert _rows(one.columns, one.collect()) == _rows(other.columns, other.collect())
+
+
+@pytest.mark.parametrize("kind", ["hand-made", "repeated ids", "supplied", "no purchases"])
+def test_each_stage_is_that_of_its_own_function(spark, kind):
+    if kind == "supplied":
+        game = from_supplied(spark, "/root/testdata/sf0.01")
+    else:
+        game = tables(spark, **({"events": []} if kind == "no purchases" else {}))
+        if kind == "repeated ids":
+            game.events = game.events.withColumn("transaction_id", F.col("transaction_id") % 4)
+    found = funnel.race_stages(game)
+    assert tuple(found) == NAMES
+    for name in NAMES:
+        same(found[name], getattr(funnel, name)(game))
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_four_stages_read_purchases_once(spark, tmp_path, monkeypatch, unique):
+    """Marks of purchases, if ids repeat, are one more pass; no result reads purchases itself."""
+    game = tables(spark)
+    for name in ("users", "race", "items", "events"):
+        getattr(game, name).write.parquet(f"{tmp_path}/{name}")
+    stored = from_parquet(spark, str(tmp_path), unique_transactions=unique)
+    texts = []
+
+    def recorded(df, store=storage.store):
+        texts.append(plan(df))
+        return store(df)
+
+    monkeypatch.setattr(funnel, "store", recorded)
+    found = funnel.race_stages(stored, NAMES[:4])
+    assert [scans(plan(df), "events") for df in found.values()] == [0] * 4
+    assert [scans(text, "events") for text in texts] == ([1] if unique else [1, 1])
+
+
+def test_unknown_stages_are_refused(spark):
+    with pytest.raises(ValueError, match="no such stages: race_winners"):
+        funnel.race_stages(tables(spark), ["race_funnel", "race_winners"])
+
+
+def test_by_race_id_it_is_the_funnel_of_named_races(spark):
+    game = tables(spark)
+    by_id = funnel.funnel_by(game, "race_id").where("race_id <= 3").drop("race_id")
+    named = funnel.race_funnel(game).where("race IS NOT NULL").drop("race_id", "race")
+    same(by_id, named)
+
+
+def with_region(spark, **settings):
+    game = tables(spark)
+    users = game.users.withColumn(
+        "region", F.when(F.col("id") % 3 == 0, "north").when(F.col("id") % 3 == 1, "south")
+    )
+    return GameTables(users, game.race, game.items, game.events, user_columns=("region",), **settings)
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_by_a_column_of_ones_own(spark, unique):
+    """Players 3, 6 are north, 1, 4, 7 south, 2 and 5 nowhere; worked out on paper."""
+    found = {r["region"]: r for r in funnel.funnel_by(with_region(spark, unique_transactions=unique), "region").collect()}
+    count = lambda r: (r["count_all_u"], r["count_purshasing_u"], r["count_paying_u"])
+    assert count(found["north"]) == (2, 2, 2) and count(found["south"]) == (3, 1, 1)
+    assert count(found[None]) == (2, None, None)
+    number = lambda r: tuple(float(r[c]) for c in ("avg_purshases", "avg_amount_transaction", "avg_amount_u"))
+    # player 6 has two purchases of 100 together, player 3 one of nothing; player 1 three of 60
+    assert number(found["north"]) == (1.0, 50.0, 50.0)
+    assert number(found["south"]) == (3.0, 20.0, 60.0)
+
+
+def test_by_the_payer_flag(spark):
+    found = {r["payer"]: r for r in funnel.funnel_by(tables(spark), "payer").collect()}
+    assert (found[1]["count_all_u"], found[1]["count_purshasing_u"], found[1]["count_paying_u"]) == (3, 3, 3)
+    assert (found[0]["count_all_u"], found[0]["count_purshasing_u"], found[0]["count_paying_u"]) == (4, 1, None)
+
+
+def test_other_analyses_take_the_column_too(spark):
+    game = with_region(spark)
+    shares = {r["region"]: (r["all_users"], r["paying_users"]) for r in payers.payer_share_by(game, "region").collect()}
+    assert shares == {"north": (2, 2), "south": (3, 1), None: (2, 0)}
+    active = {r["region"]: r["count_trans"] for r in purchases.activity_by_payer(game, "region").collect()}
+    # purchases of unknown players and of players without a region share the NULL group
+    assert active == {"north": 3, "south": 3, None: 7}
+
+
+def test_a_missing_column_is_named(spark):
+    game = tables(spark)
+    with pytest.raises(ValueError, match="missing columns: region"):
+        GameTables(game.users, game.race, game.items, game.events, user_columns=("region",))
