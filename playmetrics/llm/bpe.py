@@ -6,12 +6,16 @@ Two things are shuffled: the blocks' distinct words, by a hash of the word, so t
 encoded in one place once; and the sequences, by block, where the word's ids come back and documents
 are put together by position. A row holds many words or numbers, packed, since rows of single
 words would take more room than the text. Texts are never shuffled, and the words are never
-gathered: they are dealt to ``BUCKETS`` places, each of which remembers the last ``KNOWN_WORDS``. Decoding joins ids with
+gathered: they are dealt to as many places as Spark has shuffle partitions, and to ``BUCKETS`` at
+least; each task remembers the last ``KNOWN_WORDS``. Decoding joins ids with
 the token-byte table, which has one row per token of the fixed vocabulary.
 
-Blocks are formed twice, for words and for sequences, and carry a digest of their words in order.
-If a task that is run again saw its rows in another order, numbers would not fit; the digest
-then finds no partner and the job fails instead of giving wrong ids.
+Blocks are formed twice, for words and for sequences. A block's key is a digest of the partition it
+lies in, its number there, and its words in order, so blocks of the same words stay apart and no task
+gets more than its share of them. If a task that is run again saw its rows in another order, numbers
+would not fit; the digest then finds no partner and the job fails instead of giving wrong ids.
+
+Letters, numbers and white space are what the tokenizer library's own pattern engine takes for them.
 
 Nulls and edge cases: a null text counts as empty and has no tokens. Ids may repeat or be null. An
 empty table gives no rows. Only the id and the text are read. A text is held whole by one task,
@@ -23,7 +27,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import unicodedata
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import cache
@@ -31,7 +34,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+import tiktoken
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +45,8 @@ from playmetrics.llm.frames import give_back_memory
 # Bytes of text that are cut at once, and bytes in a block.
 STEP_BYTES = 1 << 18
 BLOCK_BYTES = 1 << 23
-# Places that words are dealt to, and encoded words that one of them remembers; beyond that, a word
-# may be encoded again.
+# Least number of places that words are dealt to, and encoded words that a task remembers; beyond
+# that, a word may be encoded again.
 BUCKETS = 512
 KNOWN_WORDS = 1 << 20
 # Bytes of ids in one batch of results.
@@ -50,11 +55,7 @@ _OUT_BYTES = 1 << 20
 _SHORT = 32
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
-# The characters of Unicode's White_Space property.
-_WHITE = (
-    *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
-    0x205F, 0x3000,
-)
+_CLASSES = {r"\p{L}": _LETTER, r"\p{N}": _NUMBER, r"\s": _SPACE}
 # The endings that the pattern cuts off after an apostrophe.
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -69,15 +70,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 @cache
 def _classes() -> np.ndarray:
-    """The class of every code point."""
-    kind = np.zeros(0x110000, np.uint8)
-    for code in range(0x110000):
-        first = unicodedata.category(chr(code))[0]
-        if first == "L":
-            kind[code] = _LETTER
-        elif first == "N":
-            kind[code] = _NUMBER
-    kind[list(_WHITE)] = _SPACE
+    """The class of every code point, as the library's patterns see it."""
+    kind = np.full(0x110000, _OTHER, np.uint8)
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    bytes_alone = {bytes([b]): b for b in range(256)}
+    for pattern, known in _CLASSES.items():
+        # text that the pattern does not match has no ids
+        matching = tiktoken.Encoding(
+            "class", pat_str=pattern, mergeable_ranks=bytes_alone, special_tokens={}
+        )
+        found = bytes(matching.encode_ordinary(every)).decode("utf-8")
+        kind[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = known
     return kind
 
 
@@ -144,19 +147,23 @@ def pre_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return tokens, np.diff(np.searchsorted(starts, heads))
 
 
-def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
-    """Cut an array into runs of texts of about ``STEP_BYTES``."""
+def _pieces(texts: pa.Array, step_bytes: int) -> Iterator[pa.Array]:
+    """Cut an array into runs of texts of about ``step_bytes``."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    step = np.cumsum(lengths) // STEP_BYTES
+    step = np.cumsum(lengths) // step_bytes
     for at in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(step)) + 1):
         if len(at):
             yield texts.slice(at[0], len(at))
 
 
 class Block:
-    """Distinct words of a run of documents, and the documents as numbers of words."""
+    """Distinct words of a run of documents, and the documents as numbers of words.
+
+    ``place`` says where the run lies: its partition, and its number there.
+    """
 
-    def __init__(self):
+    def __init__(self, place: tuple[int, int] = (0, 0)):
+        self.place = place
         self.size = 0
         self.ids: list[pa.Array] = []
         self.words: list[pa.Array] = []
@@ -170,10 +177,10 @@ class Block:
         self.size += len(tokens.buffers()[2] or b"")
 
     def close(self) -> tuple[int, pa.Array, list[np.ndarray]]:
-        """Digest, distinct words, and the word numbers of each piece."""
+        """Digest of place and words, distinct words, and the word numbers of each piece."""
         chunks = pa.chunked_array(self.words).unify_dictionaries()
         words = chunks.chunk(0).dictionary
-        digest = hashlib.blake2b(digest_size=8)
+        digest = hashlib.blake2b(np.array(self.place, "<i8").tobytes(), digest_size=8)
         for buffer in words.buffers()[1:]:
             digest.update(memoryview(buffer or b""))
         block = int.from_bytes(digest.digest(), "little", signed=True)
@@ -181,16 +188,20 @@ class Block:
         return block, words, numbers
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Block]:
-    block = Block()
+def _blocks(
+    batches: Iterable[pa.RecordBatch], step_bytes: int, block_bytes: int
+) -> Iterator[Block]:
+    context = TaskContext.get()
+    partition = context.partitionId() if context is not None else 0
+    block = Block((partition, 0))
     for batch in batches:
         done = 0
-        for texts in _pieces(batch.column(1)):
+        for texts in _pieces(batch.column(1), step_bytes):
             block.add(batch.column(0).slice(done, len(texts)), texts)
             done += len(texts)
-            if block.size >= BLOCK_BYTES:
+            if block.size >= block_bytes:
                 yield block
-                block = Block()
+                block = Block((partition, block.place[1] + 1))
                 give_back_memory()
     if block.ids:
         yield block
@@ -251,46 +262,52 @@ def _cut(strings: pa.Array, places: np.ndarray) -> pa.Array:
 _WORDS = "bucket int, block long, count int, numbers binary, lengths binary, size long, words binary"
 
 
-def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per block and bucket: the numbers of the words there, as steps, and the words."""
-    for block in _blocks(batches):
-        key, words, _ = block.close()
-        at = np.fromiter((zlib.crc32(w) for w in words.to_pylist()), np.int64, len(words))
-        at %= BUCKETS
-        order = np.argsort(at, kind="stable")
-        rows = {name: [] for name in ("bucket", "block", "count", "numbers", "lengths", "size",
-                                      "words")}
-        for own in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
-            if not len(own):
-                continue
-            mine = words.take(pa.array(own))
-            content = _content(mine)
-            rows["bucket"].append(at[own[0]])
-            rows["block"].append(key)
-            rows["count"].append(len(own))
-            rows["numbers"].append(_packed(np.diff(own, prepend=0)))
-            rows["lengths"].append(_packed(pc.binary_length(mine).to_numpy()))
-            rows["size"].append(len(content))
-            rows["words"].append(pa.compress(content, codec="zstd", asbytes=True))
-        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-            ("bucket", pa.int32()), ("block", pa.int64()), ("count", pa.int32()),
-            ("numbers", pa.binary()), ("lengths", pa.binary()), ("size", pa.int64()),
-            ("words", pa.binary()),
-        ]))
-
-
-def _sequences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per piece of a block: its documents, their lengths, and all word numbers in order."""
-    for block in _blocks(batches):
-        key, _, numbers = block.close()
-        for ids, counts, numbered in zip(block.ids, block.counts, numbers):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([key], pa.int64()),
-                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                pa.array([_packed(counts)], pa.binary()),
-                pa.array([len(numbered)], pa.int64()),
-                pa.array([_packed(numbered)], pa.binary()),
-            ], names=["block", "doc_ids", "counts", "size", "sequence"])
+def _dealer(places: int, step_bytes: int, block_bytes: int):
+    """Deals the words of blocks to ``places``."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per block and bucket: the numbers of the words there, as steps, and the words."""
+        for block in _blocks(batches, step_bytes, block_bytes):
+            key, words, _ = block.close()
+            at = np.fromiter((zlib.crc32(w) for w in words.to_pylist()), np.int64, len(words))
+            at %= places
+            order = np.argsort(at, kind="stable")
+            rows = {name: [] for name in ("bucket", "block", "count", "numbers", "lengths", "size",
+                                          "words")}
+            for own in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                if not len(own):
+                    continue
+                mine = words.take(pa.array(own))
+                content = _content(mine)
+                rows["bucket"].append(at[own[0]])
+                rows["block"].append(key)
+                rows["count"].append(len(own))
+                rows["numbers"].append(_packed(np.diff(own, prepend=0)))
+                rows["lengths"].append(_packed(pc.binary_length(mine).to_numpy()))
+                rows["size"].append(len(content))
+                rows["words"].append(pa.compress(content, codec="zstd", asbytes=True))
+            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
+                ("bucket", pa.int32()), ("block", pa.int64()), ("count", pa.int32()),
+                ("numbers", pa.binary()), ("lengths", pa.binary()), ("size", pa.int64()),
+                ("words", pa.binary()),
+            ]))
+    return run
+
+
+def _sequencer(step_bytes: int, block_bytes: int):
+    """Turns documents into the word numbers of their blocks."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per piece of a block: its documents, their lengths, and all word numbers in order."""
+        for block in _blocks(batches, step_bytes, block_bytes):
+            key, _, numbers = block.close()
+            for ids, counts, numbered in zip(block.ids, block.counts, numbers):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([key], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                    pa.array([_packed(counts)], pa.binary()),
+                    pa.array([len(numbered)], pa.int64()),
+                    pa.array([_packed(numbered)], pa.binary()),
+                ], names=["block", "doc_ids", "counts", "size", "sequence"])
+    return run
 
 
 # --- encoding -----------------------------------------------------------------------------------
@@ -393,9 +410,9 @@ def _word_ids(dictionary: pa.Table) -> pa.Array:
         numbers.append(np.cumsum(_unpacked(row["numbers"], row["count"]), dtype=np.int64))
         lengths.append(_unpacked(row["lengths"], row["count"]).astype(np.int64) * 4)
         ids.append(_unpacked(row["ids"], row["size"]).tobytes())
-    # a block that two tasks have alike brings each word twice
-    found, at = np.unique(np.concatenate(numbers), return_index=True)
-    if len(found) and found[-1] != len(found) - 1:
+    numbers = np.concatenate(numbers)
+    at = np.argsort(numbers)
+    if not np.array_equal(numbers[at], np.arange(len(at))):
         raise RuntimeError("words of a block are missing: its rows came in another order")
     return _joined(ids, np.concatenate(lengths)).take(pa.array(at))
 
@@ -445,6 +462,11 @@ def _with_decoded(batch: pa.RecordBatch, tokens: pa.Array) -> pa.RecordBatch:
     )
 
 
+def _word_places(spark: SparkSession) -> int:
+    """How many places words are dealt to: one per shuffle partition, ``BUCKETS`` at least."""
+    return max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")
@@ -471,9 +493,11 @@ def encode(
     context = docs.sparkSession.sparkContext
     ranks_of = context.broadcast(dict(ranks))
     tokens_of = context.broadcast(_token_table(ranks)) if with_decoded else None
-    words = narrow.mapInArrow(_words, _WORDS)
+    # tasks take the sizes from here, so that both sides cut the same blocks
+    sizes = STEP_BYTES, BLOCK_BYTES
+    words = narrow.mapInArrow(_dealer(_word_places(docs.sparkSession), *sizes), _WORDS)
     dictionaries = words.repartition("bucket").mapInArrow(_encoder(ranks_of), _WORD_IDS)
-    sequences = narrow.mapInArrow(_sequences, T.StructType([
+    sequences = narrow.mapInArrow(_sequencer(*sizes), T.StructType([
         T.StructField("block", T.LongType()),
         T.StructField("doc_ids", T.ArrayType(kind)),
         T.StructField("counts", T.BinaryType()),
