@@ -15,10 +15,13 @@ wildcards and exceptions of the public list; they are sent with the plan.
 Nulls and edge cases: a null url, or one without ``://``, has an empty host and path. Null and
 repeated labels: nulls do not count, repeated ones count as often as they occur. Repeated pages
 get repeated rows. Without any outcome everything without a rule is allowed. An empty table gives
-no rows. Only the named columns are read.
+no rows. Only the named columns are read. A url may be of any length; it is held by one task, in
+time that grows with its length.
 
 Pages meet outcomes by id and hosts by name. Outcomes are summed on the map side; the join by
-host is left to Spark, which splits hot hosts at run time.
+host is left to Spark, which splits hot hosts at run time. The sums of hosts, domains and suffixes
+are stored, a row per unit, and so are the shares that a level hands down, so pages are read once
+for the sums and once for the verdicts.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmetrics.llm.exact_dedup import lower_ascii
+from playmetrics.storage import store
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -131,26 +135,23 @@ def reputation(
     """Per host ``p``, its lower bound ``low`` and ``host_verdict``.
 
     ``hosts`` has ``host``, ``bad`` and ``n``, one row per host, also for hosts without outcomes.
+    Runs a job per level and stores what it finds.
     """
-    units = hosts.select(*[c.alias(k) for k, c in _levels(F.col("host"), suffixes).items()], "bad", "n")
-    per_suffix = units.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    sums = F.sum("bad").alias("bad"), F.sum("n").alias("n")
+    units = store(hosts.select(
+        *[c.alias(k) for k, c in _levels(F.col("host"), suffixes).items()], "bad", "n"
+    ))
+    per_domain = store(units.groupBy("suffix", "domain").agg(*sums))
+    per_suffix = store(per_domain.groupBy("suffix").agg(*sums))
     # one page of each kind on top, so that the mean is never exactly 0 or 1
     everything = per_suffix.agg(
         ((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0))
         .alias("m")
     )
-    shrunk_suffixes = _shrunk(per_suffix, everything, None)
-    per_domain = units.groupBy("suffix", "domain").agg(
-        F.sum("bad").alias("bad"), F.sum("n").alias("n")
-    )
-    domains = _shrunk(
-        per_domain, shrunk_suffixes.select("suffix", F.col("p").alias("m")), "suffix"
-    )
-    found = _shrunk(
-        units.select("domain", "host", "bad", "n"),
-        domains.select("domain", F.col("p").alias("m")),
-        "domain",
-    )
+    shares = F.col("p").alias("m")
+    of_suffixes = store(_shrunk(per_suffix, everything, None).select("suffix", shares))
+    of_domains = store(_shrunk(per_domain, of_suffixes, "suffix").select("domain", shares))
+    found = _shrunk(units.select("domain", "host", "bad", "n"), of_domains, "domain")
     a, b = F.col("alpha"), F.col("beta")
     deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     low = F.col("p") - F.lit(bound) * deviation
@@ -171,6 +172,7 @@ def filter_urls(
 
     ``outcomes`` has the page id and ``bad_col``, true or false, of labelled pages.
     ``suffixes`` are public suffixes of more than one label, such as ``co.uk``, in lower case.
+    Runs the jobs of ``reputation``.
     """
     host, path = host_and_path(F.col(url_col))
     parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))

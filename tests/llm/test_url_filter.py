@@ -123,3 +123,35 @@ def test_one_owner_does_not_move_another_below_a_public_suffix(spark):
 def test_empty_table(spark):
     assert verdicts(spark, []) == {}
     assert verdicts(spark, [], [(1, True, "x")]) == {}
+
+
+def test_pages_are_read_once_for_the_sums_and_once_for_the_verdicts(spark, tmp_path, monkeypatch):
+    pages(spark, [(i, f"http://h{i % 3}.org/{i}") for i in range(9)]).write.parquet(f"{tmp_path}/pages")
+    table = spark.read.parquet(f"{tmp_path}/pages")
+    labels = spark.createDataFrame([(1, True)], "page_id long, bad boolean")
+    plans = []
+
+    def recorded(df, store=url_filter.store):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(url_filter, "store", recorded)
+    found = url_filter.filter_urls(table, labels, URL_RULES)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    reads = [text.count(f"{tmp_path}/pages]") for text in plans]
+    assert reads[0] == reads[-1] == 1 and sum(reads) == 2
+    assert found.count() == 9
+
+
+def test_a_very_long_url_and_a_busy_host(spark):
+    long_host = "a." * 100_000 + "org"
+    urls = [(i, "http://busy.info/" + str(i)) for i in range(400)]
+    urls += [(400 + i, f"http://h{i}.calm.info/") for i in range(100)]
+    urls += [(900, f"http://{long_host}/" + "p" * 500_000), (901, "x" * 500_000), (902, "http://" + ":1" * 100_000)]
+    labels = [(i, i % 10 != 0, "x") for i in range(300)] + [(400 + i, False, "x") for i in range(50)]
+    found = verdicts(spark, urls, labels)
+    assert len(found) == len(urls)
+    assert {found[i]["verdict"] for i in range(400)} == {"block"}
+    assert {found[i]["verdict"] for i in range(400, 500)} == {"allow"}
+    assert (found[900]["host"], len(found[900]["path"])) == (long_host, 500_001)
+    assert (found[901]["host"], found[902]["host"]) == ("", ":1" * 100_000)
