@@ -92,7 +92,9 @@ def test_the_label_is_not_read_in_prediction(spark):
 def test_sample_is_bounded(spark):
     docs = documents(spark, [(i, "ab" if i % 2 else "a" * (i + 1), "x", "s") for i in range(2000)])
     ranked = language_id.learn(docs.select("doc_id", "text", "lang"), sample_docs=10)
-    assert list(ranked) == ["x"] and 0 < len(ranked["x"]) <= language_id.PROFILE
+    rows = ranked.collect()
+    assert {r["lang"] for r in rows} == {"x"} and 0 < len(rows) <= language_id.PROFILE
+    assert sorted(r["place"] for r in rows) == list(range(len(rows)))
 
 
 def test_nothing_to_learn(spark):
@@ -101,10 +103,44 @@ def test_nothing_to_learn(spark):
     assert language_id.language_id(plain(spark, [])).collect() == []
 
 
-def test_too_many_languages_are_refused(spark):
-    docs = documents(spark, [(i, "abc", f"l{i}", "s") for i in range(1100)])
-    with pytest.raises(ValueError, match="languages"):
-        language_id.learn(docs.select("doc_id", "text", "lang"))
+def many_languages(count):
+    """Documents of ``count`` languages, each with words of its own."""
+    rng = random.Random(count)
+    rows = []
+    for k in range(count):
+        words = ["".join(rng.choice("abcdefghijklmno") for _ in range(5)) for _ in range(3)]
+        rows += [(2 * k + i, " ".join(words), f"l{k}", "s") for i in range(2)]
+    return rows
+
+
+@pytest.mark.parametrize("at_once, turns", [(1, 3), (2, 1), (7, 2), (15, 8), (16, 8)])
+def test_languages_may_take_turns(spark, monkeypatch, at_once, turns):
+    rows = many_languages(15)
+    docs = documents(spark, rows + [(900, "", "l1", "s"), (901, "12", None, "s"), (902, "zzz", None, "s")])
+    profiles = language_id.learn(docs.select("doc_id", "text", "lang"))
+    whole = sorted(language_id.identify(docs, profiles).collect())
+    monkeypatch.setattr(language_id, "LANGUAGES_AT_ONCE", at_once)
+    monkeypatch.setattr(language_id, "TURNS", turns)
+    assert sorted(language_id.identify(docs, profiles).collect()) == whole
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in whole}
+    assert all(got[i][0] == lang for i, _, lang, _ in rows)
+    # without a shared n-gram the first language in code point order, without letters none
+    assert got[900] == got[901] == ("und", 0.0) and got[902] == ("l0", 0.0)
+
+
+def test_a_language_named_as_the_unknown_one_keeps_its_ties(spark, monkeypatch):
+    docs = documents(spark, [(1, "abc", "und", "s"), (2, "abc", "zz", "s"), (3, "abc", "aa", "s")])
+    monkeypatch.setattr(language_id, "LANGUAGES_AT_ONCE", 1)
+    profiles = language_id.learn(docs.where("lang != 'aa'").select("doc_id", "text", "lang"))
+    assert {r["lang_pred"] for r in language_id.identify(docs, profiles).collect()} == {"und"}
+
+
+def test_more_languages_than_one_turn_holds(spark):
+    rows = many_languages(1100)
+    docs = documents(spark, rows)
+    profiles = language_id.learn(docs.select("doc_id", "text", "lang"))
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, profiles).collect()}
+    assert found == {i: lang for i, _, lang, _ in rows}
 
 
 def test_held_out_accuracy(spark):
