@@ -37,7 +37,6 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +60,9 @@ _MOST_VARIANTS = 10_000
 # An odd base, which has an inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+# Characters whose powers of the base are held in a table, and of lines that are cut at once.
+_STEP = 1 << 16
+_CHARS = 1 << 18
 
 
 def lines_of(text: str | None) -> Iterator[tuple[int, str]]:
@@ -80,40 +82,6 @@ def bound(length: int, edits: int) -> int:
     return min(edits, length // CHARS_PER_EDIT)
 
 
-def pieces(line: str, edits: int) -> Iterator[tuple[str, int, int, bool]]:
-    """The pieces that a line has or asks for: what they say, where they start and end, and whether
-    they are its own.
-
-    Two lines whose distance is within the bound of the shorter one share a piece that is an own one of the
-    shorter. Edits before piece i and after it are counted apart: one side has at most as
-    many as pieces, which limits how far an intact piece can be from its place.
-    """
-    n = len(line)
-    for length in range(n, max(n - edits, 0) - 1, -1):
-        more, most = n - length, bound(length, edits)
-        if more > most or (edits and not most):
-            continue
-        cuts = [length * i // (most + 1) for i in range(most + 2)]
-        for i, (start, end) in enumerate(zip(cuts, cuts[1:])):
-            for by in range(max(-i, more - most + i), min(i, more + most - i) + 1):
-                if 0 <= start + by and end + by <= n:
-                    said = f"{length},{i},{line[start + by:end + by]}"
-                    yield said, start + by, end + by, not more and not by
-
-
-def _key(said: str) -> int:
-    key = xxhash.xxh64_intdigest(said.encode("utf-8", "replace"))
-    return key - ((key >> 63) << 64)
-
-
-def piece_keys(line: str, edits: int) -> list[int]:
-    """Distinct hashes of the pieces that are a line's own, then of those it asks for."""
-    own, asked = {}, {}
-    for said, _, _, is_own in pieces(line, edits):
-        (own if is_own else asked)[_key(said)] = None
-    return [*own, *(key for key in asked if key not in own)]
-
-
 @cache
 def _powers(base: int, count: int) -> np.ndarray:
     """Powers of a base modulo 2^64; ``count`` is rounded up by the caller."""
@@ -122,6 +90,84 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(powers)
 
 
+def _span_hashes(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of what is between the places, wherever it lies: sums of code points times powers of the base."""
+    places, back = np.unique(np.concatenate([start, end]), return_inverse=True)
+    sums, total = np.zeros(len(places), np.uint64), np.zeros(1, np.uint64)
+    blocks = 1 << (len(points) // _STEP).bit_length()
+    low, high = _powers(_BASE, _STEP), _powers(pow(_BASE, _STEP, 1 << 64), blocks)
+    for block, at in enumerate(range(0, len(points), _STEP)):
+        own = points[at:at + _STEP].astype(np.uint64) + np.uint64(1)
+        own = np.cumsum(own * low[:len(own)] * high[block]) + total
+        first, after = np.searchsorted(places, [at, at + len(own)], side="right")
+        sums[first:after] = own[places[first:after] - at - 1]
+        total = own[-1:]
+    low, high = _powers(_INVERSE, _STEP), _powers(pow(_INVERSE, _STEP, 1 << 64), blocks)
+    sums = sums[back]
+    return (sums[len(start):] - sums[:len(start)]) * low[start % _STEP] * high[start // _STEP]
+
+
+def _shapes(edits: int) -> list[tuple[int, int, int, int]]:
+    """What pieces there can be: characters that the line has more than the one it looks for, that one's bound,
+    the piece's number, and how far it is from its place; those that are a line's own come first.
+
+    Two lines whose distance is within the bound of the shorter one share a piece that is an own one of the
+    shorter. Edits before piece i and after it are counted apart: one side has at most as
+    many as pieces, which limits how far an intact piece can be from its place.
+    """
+    found = [
+        (more, most, i, by)
+        for most in range(min(edits, 1), edits + 1) for more in range(most + 1) for i in range(most + 1)
+        for by in range(max(-i, more - most + i), min(i, more + most - i) + 1)
+    ]
+    return sorted(found, key=lambda shape: (shape[0] > 0 or shape[3] != 0, abs(shape[3])))
+
+
+def pieces(lines: list[str], edits: int) -> tuple[np.ndarray, ...]:
+    """The pieces that lines have or ask for, by line: the line's place in the list, key, start, end, whether it
+    is an own one, and whether no piece before it is the same one of the line. Own ones come first."""
+    n = np.fromiter(map(len, lines), np.int64, len(lines))
+    ends = np.cumsum(n)
+    at, shape, start, end = [], [], [], []
+    shapes = _shapes(edits)
+    for number, (more, most, i, by) in enumerate(shapes):
+        length = n - more
+        own = np.flatnonzero((length >= 0) & (np.minimum(edits, length // CHARS_PER_EDIT) == most))
+        at.append(own)
+        shape.append(np.full(len(own), number))
+        start.append(length[own] * i // (most + 1) + by)
+        end.append(length[own] * (i + 1) // (most + 1) + by)
+    at, shape, start, end = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (at, shape, start, end))
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "replace"), np.uint32)
+    begin = (ends - n)[at]
+    more, most, i, by = np.array(shapes, np.int64).reshape(-1, 4)[shape].T
+    key = _span_hashes(points, begin + start, begin + end)
+    # sums of texts that differ in their first character are close together, so the rest must not be small
+    key += (n[at] - more).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)
+    key += i.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    first = np.ones(len(at), bool)
+    for later, place in enumerate(shapes):
+        for earlier in range(later):
+            if shapes[earlier][:3] == place[:3]:
+                # the same lines in the same order
+                first[shape == later] &= key[shape == later] != key[shape == earlier]
+    order = np.argsort(at, kind="stable")
+    return tuple(c[order] for c in (at, key.view(np.int64), start, end, (more == 0) & (by == 0), first))
+
+
+def _grouped(lines: list[str]) -> Iterator[list[str]]:
+    """Runs of lines with some characters in all, or of one long line."""
+    run, held = [], 0
+    for line in lines:
+        if run and held + len(line) > _CHARS:
+            yield run
+            run, held = [], 0
+        run.append(line)
+        held += len(line)
+    if run:
+        yield run
+
+
 def variants(text: str, deletions: int) -> np.ndarray:
     """Hashes of all strings that at most so many deletions make of ``text``.
 
@@ -199,36 +245,46 @@ def within(a: str, b: str, edits: int) -> bool:
 def _split(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
     """For each document a row without a line, with its number of lines, and a row per line that is not blank."""
     for batch in batches:
-        at, numbers, counts, digests, keys = [], [], [], [], []
+        at, numbers, counts, lines = [], [], [], []
         for i, text in enumerate(batch.column(2)):
             text = text.as_py() or ""
             own = list(lines_of(text))
             at += [i] * (len(own) + 1)
             numbers += [None, *(number for number, _ in own)]
             counts += [text.count("\n") + 1, *[None] * len(own)]
-            digests += [None, *(digest(line) for _, line in own)]
-            keys += [None, *(piece_keys(line, edits) for _, line in own)]
+            lines += [line for _, line in own]
+        n_keys, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for run in _grouped(lines):
+            place, key, *_, first = pieces(run, edits)
+            n_keys.append(np.bincount(place[first], minlength=len(run)))
+            keys.append(key[first])
+        numbers = pa.array(numbers, pa.int32())
+        # a document's own row has no keys
+        is_line = numbers.is_valid().to_numpy(zero_copy_only=False)
+        ends = np.zeros(len(at) + 1, np.int32)
+        ends[1:][is_line] = np.concatenate(n_keys)
+        np.cumsum(ends, out=ends)
+        digests = np.full(len(at), None)
+        digests[is_line] = [digest(line) for line in lines]
         at = pa.array(at, pa.int64())
         yield pa.RecordBatch.from_arrays([
-            batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
+            batch.column(0).take(at), batch.column(1).take(at), numbers,
             pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-            pa.array(keys, pa.list_(pa.int64())),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys))),
         ], names=["doc_id", "row", "line", "n_lines", "digest", "keys"])
 
 
 def _keyed(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
     """The pieces of each line: key, whether it is an own one, and where it starts and ends."""
     for batch in batches:
-        rows, at = [], []
-        for i, line in enumerate(batch.column("text")):
-            found = {(_key(said), own, start, end) for said, start, end, own in pieces(line.as_py(), edits)}
-            rows += found
-            at += [i] * len(found)
-        key, own, start, end = zip(*rows) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([
-            pa.array(key, pa.int64()), pa.array(own, pa.bool_()), pa.array(start, pa.int32()),
-            pa.array(end, pa.int32()), batch.column("rank").take(pa.array(at, pa.int64())),
-        ], names=["key", "own", "start", "end", "rank"])
+        ranks, done = batch.column("rank"), 0
+        for run in _grouped(batch.column("text").to_pylist()):
+            at, key, start, end, own, _ = pieces(run, edits)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key), pa.array(own), pa.array(start, pa.int32()),
+                pa.array(end, pa.int32()), ranks.take(pa.array(at + done)),
+            ], names=["key", "own", "start", "end", "rank"])
+            done += len(run)
 
 
 def _refined(batches: Iterable[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:

@@ -130,14 +130,58 @@ def test_near_texts_share_a_variant_and_far_ones_hardly_ever():
 @pytest.mark.parametrize("edits", [0, 1, 2, 3, 4])
 def test_near_lines_share_a_piece_of_the_shorter(edits):
     lines = sorted({line.strip(WHITE) for text in made_up(edits, 8, 45) for line in text.split("\n")})
-    keys = {line: line_dedup.piece_keys(line, edits) for line in lines}
-    own = {line: {line_dedup._key(s) for s, _, _, own in line_dedup.pieces(line, edits) if own} for line in lines}
+    keys, own = ({line: set() for line in lines} for _ in range(2))
+    for at, key, _, _, is_own, first in zip(*line_dedup.pieces(lines, edits)):
+        keys[lines[at]] |= {key} if first else set()
+        own[lines[at]] |= {key} if is_own else set()
     for a in lines:
         for b in lines:
             most = min(edits, min(len(a), len(b)) // 10)
             assert line_dedup.within(a, b, most) == (distance(a, b, most) <= most)
             if near(a, b, edits) and len(a) <= len(b):
-                assert own[a] & set(keys[b])
+                assert own[a] & keys[b]
+
+
+def slow_pieces(line, edits):
+    """What a piece says, with the length it is of and its number; where it lies; whether it is an own one."""
+    found = set()
+    for more in range(edits + 1):
+        length = len(line) - more
+        most = min(edits, length // 10)
+        if length < 0 or more > most or (edits and not most):
+            continue
+        for i in range(most + 1):
+            start, end = length * i // (most + 1), length * (i + 1) // (most + 1)
+            # by characters more before the piece, more - by after it; at most i edits or most - i
+            for by in range(-edits, edits + 1):
+                if abs(by) <= i and abs(more - by) <= most - i:
+                    said = (length, i, line[start + by:end + by])
+                    found.add((said, start + by, end + by, not more and not by))
+    return found
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+@pytest.mark.parametrize("step", [7, 1 << 16])
+def test_pieces_are_those_of_the_rule_wherever_a_line_lies(edits, step, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_STEP", step)
+    lines = [line for text in made_up(edits, 8, 45) for line in text.split("\n")] + ["x" * 64, "", "\U0001F600" * 25]
+    keys, got, seen = {}, [set() for _ in lines], [set() for _ in lines]
+    for at, key, start, end, own, first in zip(*line_dedup.pieces(lines, edits)):
+        assert first == (key not in seen[at])
+        seen[at].add(key)
+        got[at].add((key, start, end, own))
+    for line, found in zip(lines, got):
+        expected = slow_pieces(line, edits)
+        assert {f[1:] for f in found} == {e[1:] for e in expected} and len(found) == len(expected)
+        by_place = {}
+        for key, start, end, own in found:
+            by_place.setdefault((start, end, own), set()).add(key)
+        for said, *place in expected:
+            keys.setdefault(said, []).append(by_place[tuple(place)])
+    # one key for what says the same, and different ones for all else
+    same = {said: set.intersection(*found) for said, found in keys.items()}
+    assert all(same.values())
+    assert len(set().union(*same.values())) == len(keys)
 
 
 def test_a_piece_that_very_many_lines_share(spark):
