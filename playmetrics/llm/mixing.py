@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from playmetrics.llm.frames import unused_name
+from playmetrics.llm.frames import give_back_memory, unused_name
 from playmetrics.operators.ordering import with_position
 from playmetrics.storage import store
 
@@ -76,6 +76,7 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64())],
                 names=["doc_id", "source", "size"],
             )
+        give_back_memory()
 
     schema = T.StructType([
         T.StructField("doc_id", narrow.schema["doc_id"].dataType),
@@ -333,6 +334,7 @@ def mixed_documents(
             columns = [c.take(pa.array(picked, pa.int64())) for c in batch.columns[:-1]]
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        give_back_memory()
 
     mixed = rows.mapInArrow(run, docs.schema)
     if chars_col is not None:

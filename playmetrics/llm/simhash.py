@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playmetrics.llm.components import components
-from playmetrics.llm.frames import unused_name
+from playmetrics.llm.frames import give_back_memory, unused_name
 from playmetrics.operators.skew import spread_join
 from playmetrics.storage import store
 
@@ -87,6 +87,7 @@ def fingerprints(
             found = (fingerprint(t.as_py(), shingle) for t in batch.column(1))
             fps = pa.array(np.fromiter(found, np.int64, batch.num_rows))
             yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
+        give_back_memory()
 
     schema = T.StructType([
         T.StructField("doc_id", narrow.schema["doc_id"].dataType),
@@ -268,6 +269,7 @@ def _link_sorted(
         waiting = table.slice(cut)
     if waiting is not None and waiting.num_rows:
         yield _link_runs(waiting, masks, radius)
+    give_back_memory()
 
 
 def key_masks(radius: int, keep: int) -> list[int]:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from playmetrics.llm.frames import give_back_memory
 from playmetrics.storage import store
 
 SAMPLE_DOCS = 12_000
@@ -180,6 +181,7 @@ def labelled_sample(
                 [batch.column("fold"), found, *[batch.column(n) for n in names]],
                 names=["fold", "found", *names],
             )
+        give_back_memory()
 
     schema = "fold int, found array<bigint>, " + ", ".join(f"`{n}` int" for n in names)
     return store(rows.mapInArrow(run, schema).select(
@@ -199,6 +201,7 @@ def _fitter(name: str, earlier: Sequence[str]):
         order = np.argsort(table.column("row").to_numpy())
         learn = order[(fold[order] != model_of) & ~np.isnan(y[order])]
         model = fit([found[i] for i in learn], before[learn], y[learn])
+        give_back_memory()
         out = np.flatnonzero(fold == model_of)
         judged = [judge(model, found[i].tolist(), before[i].tolist()) for i in out]
         return pa.table({
@@ -311,6 +314,7 @@ def classify(
                 [batch.column(0), *[pa.array(found[:, k]) for k in range(len(chain))]],
                 names=["doc_id", *[f"p_{n}" for n in names]],
             )
+        give_back_memory()
 
     return narrow.mapInArrow(run, T.StructType([
         T.StructField("doc_id", narrow.schema["doc_id"].dataType),
@@ -367,5 +371,6 @@ def drop_toxic(
         for batch in batches:
             found = likelihoods(batch.column(at), chain)[:, -1]
             yield batch.filter(pa.array(found < threshold))
+        give_back_memory()
 
     return docs.mapInArrow(run, docs.schema)
